@@ -15,7 +15,7 @@ from riskbook.plans import training as P
 
 
 def table(df: DataFrame) -> DataFrame:
-    return P.model_table(df.drop("half_missing", "raw_amount"))
+    return X.add_weight(P.stored(P.model_table(df.drop("half_missing", "raw_amount"))))
 
 
 def predictions(df: DataFrame, name: str) -> DataFrame:

@@ -130,18 +130,20 @@ def clean(
     df: DataFrame,
     missing_columns: Sequence[str] | None = V.MOSTLY_MISSING,
     truncate_mean: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The full cleaning sequence for a raw loan table. The order matters.
 
     The balance and limit columns are dropped in the end, but are filled before incomplete rows are
     dropped: otherwise their gaps would cost rows. ``missing_columns=None`` measures which columns
-    are mostly missing instead of using the known list.
+    are mostly missing instead of using the known list. Columns in ``keep`` (a row key, say) pass
+    through untouched and do not decide whether a row is complete.
     """
     df = drop_missing(df, columns=missing_columns)
-    df = df.drop(*V.IDENTIFIERS, *V.TEXT_AND_CONSTANTS)
+    df = df.drop(*[c for c in V.IDENTIFIERS + V.TEXT_AND_CONSTANTS if c not in keep])
     df = fill_settled_balances(df)
     df = fill_mean(df, "total_rev_hi_lim", truncate=truncate_mean)
-    df = drop_incomplete(df)
+    df = drop_incomplete(df, [c for c in df.columns if c not in keep])
     df = df.withColumn("isDefault", bad_label())
     df = cast_numbers(df, V.NUMERIC_FEATURES)
     return df.drop(V.STATUS, *V.KNOWN_ONLY_AFTER_ORIGINATION)

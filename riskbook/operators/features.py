@@ -46,11 +46,12 @@ def balancing_ratio(df: DataFrame, label: str = LABEL) -> DataFrame:
 def add_weight(df: DataFrame, label: str = LABEL, ratio: float | None = None) -> DataFrame:
     """Weight r for label 0 and 1 - r for label 1, r being the share of label 1.
 
-    The share is measured by a scalar subquery unless given. The weight repeats the label, so it
+    The share is measured by a scalar subquery unless given. A NULL label has no weight. The weight repeats the label, so it
     belongs in a weight column and never among the features.
     """
     r = balancing_ratio(df, label).scalar() if ratio is None else F.lit(float(ratio))
-    return df.withColumn(WEIGHT, F.when(F.col(label) == 0, r).otherwise(1 - r))
+    # |label - r| is r for 0 and 1 - r for 1; naming r once keeps it to one subquery
+    return df.withColumn(WEIGHT, F.abs(F.col(label) - r))
 
 
 # --- categorical encodings -----------------------------------------------------------------------

@@ -1,14 +1,14 @@
 """From a raw loan table to scored default models.
 
-    table = model_table(loans, key=["id"])
-    train, test = split(table)
-    models = fit_models(train)
-    report = compare({name: model.transform(test) for name, model in models.items()})
+    table = stored(model_table(loans, key=["id"]))
+    train, test = split(X.add_weight(table))
+    report = compare_models(fit_models(train), test)
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
@@ -19,6 +19,8 @@ from riskbook.functions import vocabulary as V
 from riskbook.functions.expressions import employment_years
 from riskbook.operators import cleaning, evaluation, models
 from riskbook.operators import features as X
+from riskbook.sources.session import shared_folder, wide_rows
+from riskbook.sources.tables import write_table
 
 SPLIT_POINT = "split_point"
 
@@ -27,19 +29,30 @@ def model_table(
     df: DataFrame,
     key: Sequence[str] = ("id",),
     missing_columns: Sequence[str] | None = V.MOSTLY_MISSING,
-    weight_ratio: float | None = None,
     seed: int = V.SPLIT_SEED,
 ) -> DataFrame:
-    """Cleaned rows with label, class weight and ordinal code, categories still as text.
+    """Cleaned rows with label and ordinal code, categories still as text.
 
-    The row's split point is taken from its key before cleaning drops the key. Categories stay text
-    until the encoders of a model pipeline, so that those are fitted on training rows only.
+    The row's split point is taken from its key, which then goes. Categories stay text until
+    the encoders of a model pipeline, so that those are fitted on training rows only.
     """
-    at = df.withColumn(SPLIT_POINT, X.split_point(key, seed))
-    cleaned = cleaning.clean(at, missing_columns)
-    labelled = cleaned.withColumn(X.EMPLOYMENT_INDEX, employment_years()).drop(V.ORDINAL_CATEGORY)
-    labelled = labelled.withColumnRenamed("isDefault", X.LABEL)
-    return X.add_weight(labelled, ratio=weight_ratio).drop(*V.ANALYSIS_COLUMNS)
+    cleaned = cleaning.clean(df, missing_columns, keep=key)
+    labelled = cleaned.withColumns(
+        {X.EMPLOYMENT_INDEX: employment_years(), SPLIT_POINT: X.split_point(key, seed)}
+    ).drop(V.ORDINAL_CATEGORY, *[k for k in key if k not in V.NUMERIC_FEATURES])
+    return labelled.withColumnRenamed("isDefault", X.LABEL).drop(*V.ANALYSIS_COLUMNS)
+
+
+def stored(table: DataFrame) -> DataFrame:
+    """Write the model table to the shared folder and go on from the written copy.
+
+    Training reads the table many times. From the copy each pass is a plain columnar scan, without
+    cleaning the raw rows and averaging the fills over again, and a lost executor costs a re-read.
+    The class weight is best added to the copy, where measuring the classes reads one column.
+    """
+    spark = table.sparkSession
+    with wide_rows(spark):
+        return write_table(table, f"{shared_folder(spark)}/riskbook-model-{uuid4().hex}")
 
 
 def split(table: DataFrame, share: float = 0.7) -> tuple[DataFrame, DataFrame]:

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# The JVM compiles no method above 8000 bytes of bytecode and interprets it instead. Told the same
+# limit, Spark generates a wide projection as many small methods rather than a single huge one.
+METHOD_LIMIT_SETTING = "spark.sql.codegen.hugeMethodLimit"
+METHOD_LIMIT = "8000"
+
 
 def local_session(cpus: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8):
     """A session for tests and local runs. On a cluster, use the session that is already there."""
@@ -18,10 +24,22 @@ def local_session(cpus: int | str = "*", memory: str = "8g", shuffle_partitions:
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config(METHOD_LIMIT_SETTING, METHOD_LIMIT)
         .getOrCreate()
     )
 
 
+@contextmanager
+def wide_rows(spark: SparkSession):
+    """Run actions over wide projections with the method limit set, then put the setting back."""
+    before = spark.conf.get(METHOD_LIMIT_SETTING)
+    spark.conf.set(METHOD_LIMIT_SETTING, METHOD_LIMIT)
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_LIMIT_SETTING, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
