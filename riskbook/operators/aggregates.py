@@ -128,7 +128,8 @@ def in_fixed_order(
     """
     values = F.array(*[F.lit(v) for v in order])
     axis = summary.sparkSession.range(1).select(F.posexplode(values).alias("rank", key))
-    shown = axis.join(summary, key, "left")
+    rest = [c for c in summary.columns if c != key]
+    shown = axis.join(summary, key, "left").select("rank", key, *rest)
     if zeros:
         shown = shown.fillna(0, subset=list(zeros))
     return shown.orderBy("rank")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.expressions import hash32
-from riskbook.operators.aggregates import money_mean, money_sum
+from riskbook.operators.aggregates import money_mean
 
 Z95 = 1.96
 
@@ -55,20 +55,22 @@ def bootstrap_interval(
     Every row falls into one of ``buckets`` by the hash of its ``identity``; a group then is that
     many (count, sum) pairs, made in one pass. Replicates reweight buckets, so their cost is
     groups x buckets x replicates and does not grow with the rows, and a group holding a third of
-    the table is spread over its buckets. Weights come from hashes: a rerun gives the same interval.
+    the table is spread over its buckets. Weights come from hashes and, with a ``scale``, sums are
+    exact decimals: a rerun gives the same interval.
     """
     keys = list(keys)
     bucket = F.pmod(hash32(*identity, F.lit(seed)), F.lit(buckets))
+    addend = F.col(value) if scale is None else F.col(value).cast(f"decimal(18,{scale})")
     pairs = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, bucket.alias("bucket"))
-        .agg(F.count(value).alias("n"), money_sum(value, scale).alias("s"))
+        .agg(F.count(value).alias("n"), F.sum(addend).alias("s"))
     )
     uniform = hash32(*keys, "bucket", "replicate", F.lit(seed)) / F.lit(2.0**32)
     draws = pairs.withColumn(
         "replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))
     ).withColumn("weight", poisson_weight(uniform))
-    total = F.sum(F.col("weight") * F.col("s"))
+    total = F.sum(F.col("weight") * F.col("s")).cast("double")
     estimate = total if statistic == "sum" else F.try_divide(total, F.sum(F.col("weight") * F.col("n")))
     tails = F.percentile(
         "estimate", F.array(F.lit((1 - level) / 2), F.lit((1 + level) / 2))
