@@ -91,17 +91,27 @@ def _(df):
     return models.importances(model, model.transform(train))
 
 
+# Small grids; the full ones are in the tuning module.
+FOLD_KEY = ["loan_amnt", "installment", "dti", "addr_state"]
+
+
 @query("cv_table")
 def _(df):
-    """A small grid; the full grids are in the tuning module."""
-    rows = table(df)
-    return tuning.cross_validate(
-        rows.drop(P.SPLIT_POINT),
-        models.logistic(),
-        {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
-        folds=3,
-        key=["loan_amnt", "installment", "dti", "addr_state"],
-    ).table
+    grid = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]}
+    train = table(df).drop(P.SPLIT_POINT)
+    return tuning.cross_validate(train, models.logistic(), grid, folds=3, key=FOLD_KEY).table
+
+
+@query("cv_table_bayes")
+def _(df):
+    return tuning.tune("bayes", table(df).drop(P.SPLIT_POINT), folds=3, key=FOLD_KEY).table
+
+
+@query("cv_table_forest")
+def _(df):
+    grid = {"maxDepth": [2, 4], "impurity": ["gini"]}
+    train = table(df).drop(P.SPLIT_POINT)
+    return tuning.cross_validate(train, models.forest(), grid, folds=2, key=FOLD_KEY).table
 
 
 @query("grade_prediction")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskbook.operators.lookup import measured
 from riskbook.operators.quantiles import measurements, quantiles
 
 MOST_BINS = 50
@@ -50,9 +51,11 @@ def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
     flat = F.col("high") == F.col("low")
     low = F.when(flat, F.col("low") - 0.5).otherwise(F.col("low"))
     high = F.when(flat, F.col("high") + 0.5).otherwise(F.col("high"))
-    shape = range_of.select(
-        F.struct("n", "bins", low.alias("low"), ((high - low) / F.col("bins")).alias("width")).alias(
-            "shape"
+    shape = measured(  # a single row
+        range_of.select(
+            F.struct(
+                "n", "bins", low.alias("low"), ((high - low) / F.col("bins")).alias("width")
+            ).alias("shape")
         )
     )
     at = F.least(

@@ -117,13 +117,16 @@ def quantiles(
     if method not in ("linear", "lower"):
         raise ValueError("method is 'linear', 'lower' or 'approx'")
 
-    wanted = measured(_slice_ranks(rows, keys, probabilities, method))
+    ranks = _slice_ranks(rows, keys, probabilities, method)
+    wanted = measured(ranks)
     cut = rows.withColumn("slice", slice_of(F.col("value")))
-    tied = (
-        attach(cut, wanted, [*keys, "slice"], ("before", "total"))
-        .groupBy(*keys, "slice", "before", "total", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    each = F.count(F.lit(1)).alias("n")
+    if wanted is ranks:  # too many groups to broadcast: collapse equal values before the shuffle
+        counted = cut.groupBy(*keys, "slice", "value").agg(each)
+        tied = attach(counted, wanted, [*keys, "slice"], ("before", "total"))
+    else:  # broadcast: keep the wanted slices, then collapse equal values
+        kept = attach(cut, wanted, [*keys, "slice"], ("before", "total"))
+        tied = kept.groupBy(*keys, "slice", "before", "total", "value").agg(each)
     climb = (
         Window.partitionBy(*keys, "slice")
         .orderBy("value")
@@ -170,17 +173,22 @@ def box_stats(
     """
     keys = list(keys)
     spread = F.col("q3") - F.col("q1")
-    fences = measured(
+    numbers = (
         five_numbers(df, value, keys, method)
         .withColumn("floor", F.col("q1") - reach * spread)
         .withColumn("ceiling", F.col("q3") + reach * spread)
         .withColumn("everyone", F.lit(1))
     )
+    fences = measured(numbers)
     rows = measurements(df, value, keys).withColumn("everyone", F.lit(1))
+    if fences is numbers:  # too many groups to broadcast: collapse equal values before the shuffle
+        rows = rows.groupBy(*keys, "value", "everyone").agg(F.count(F.lit(1)).alias("held"))
+    else:
+        rows = rows.withColumn("held", F.lit(1).cast("bigint"))
     fenced = attach(rows, fences, keys or ["everyone"], ("n", *FIVE_NAMES, "floor", "ceiling"))
     inside = F.col("value").between(F.col("floor"), F.col("ceiling"))
     return fenced.groupBy(*keys, "n", *FIVE_NAMES).agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col("held"))).alias("outliers"),
     )

@@ -19,6 +19,7 @@ from riskbook.functions import vocabulary as V
 from riskbook.functions.expressions import employment_years
 from riskbook.operators import cleaning, evaluation, models
 from riskbook.operators import features as X
+from riskbook.operators.lookup import measured
 from riskbook.sources.session import shared_folder, wide_rows
 from riskbook.sources.tables import write_table
 
@@ -100,8 +101,8 @@ def fit_on_components(
 def compare_models(fitted: Mapping[str, PipelineModel], test: DataFrame, bins: int | None = 1000):
     """Score the test rows with every model and put their measures side by side.
 
-    The counts and the curve both read the scores, so each scored set is persisted, narrowed to
-    what they need.
+    The counts and the curve both read the scores, so each scored set is narrowed to what they need
+    and persisted until the measures, one row per model, are there.
     """
     scored = {}
     for name, model in fitted.items():
@@ -110,7 +111,10 @@ def compare_models(fitted: Mapping[str, PipelineModel], test: DataFrame, bins: i
         scored[name] = rows.select("label", "prediction", source).persist(
             StorageLevel.MEMORY_AND_DISK
         )
-    return evaluation.compare(scored, bins=bins)
+    table = measured(evaluation.compare(scored, bins=bins))
+    for rows in scored.values():
+        rows.unpersist()
+    return table
 
 
 def grade_model(train: DataFrame, estimator: Estimator | None = None) -> PipelineModel:
