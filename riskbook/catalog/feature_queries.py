@@ -124,7 +124,7 @@ def _(df):
 @query(
     "one_hot_wide_sums",
     " UNION ALL ".join(
-        f"SELECT '{c}_' || {c} AS feature, count(*) AS total FROM loans GROUP BY {c}"
+        f"SELECT '{c}_' || {c} AS feature, CAST(count(*) AS DOUBLE) AS total FROM loans GROUP BY {c}"
         for c in V.MANY_VALUED_CATEGORIES
     ),
 )
@@ -132,12 +132,7 @@ def _(df):
     columns = list(V.MANY_VALUED_CATEGORIES)
     wide = X.one_hot_columns(df.select(*columns), columns)
     flags = [c for c in wide.columns if c not in columns]
-    sums = wide.agg(
-        F.array(
-            *[F.struct(F.lit(c).alias("feature"), F.sum(c).alias("total")) for c in flags]
-        ).alias("sums")
-    )
-    return sums.select(F.inline("sums"))
+    return X.vector_sums(X.assembler(flags).transform(wide).select("features"), flags)
 
 
 @query(

@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -310,8 +311,13 @@ def feature_names(df: DataFrame, features: str = "features") -> list[str]:
 
 
 def vector_sums(df: DataFrame, names: Sequence[str], features: str = "features") -> DataFrame:
-    """Column sums of a vector column in long form."""
-    values = F.posexplode(vector_to_array(features)).alias("slot", "x")
-    sums = df.select(values).groupBy("slot").agg(F.sum("x").alias("total"))
+    """Column sums of a vector column in long form.
+
+    The vectors are added up as vectors, sparse ones by their filled slots only; what is unpacked
+    into rows is the single summed vector.
+    """
+    summed = df.select(Summarizer.sum(F.col(features)).alias("sums"))
     labels = F.array(*[F.lit(n) for n in names])
-    return sums.select(F.element_at(labels, F.col("slot") + 1).alias("feature"), "total")
+    return summed.select(
+        F.inline(F.arrays_zip(labels.alias("feature"), vector_to_array("sums").alias("total")))
+    )
