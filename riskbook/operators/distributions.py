@@ -51,8 +51,8 @@ def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
     flat = F.col("high") == F.col("low")
     low = F.when(flat, F.col("low") - 0.5).otherwise(F.col("low"))
     high = F.when(flat, F.col("high") + 0.5).otherwise(F.col("high"))
-    shape = measured(  # a single row
-        range_of.select(
+    shape = measured(  # a single row, or none for a table without values
+        range_of.where(F.col("n") > 0).select(
             F.struct(
                 "n", "bins", low.alias("low"), ((high - low) / F.col("bins")).alias("width")
             ).alias("shape")

@@ -138,7 +138,8 @@ def quantiles(
     for i, rank in enumerate(_ranks(F.col("total"), probabilities, method)):
         here = (rank < F.col("end")) & (rank >= F.col("end") - F.col("n"))
         picks.append(F.max(F.when(here, F.col("value"))).alias(f"at{i}"))
-    picked = placed.groupBy(*keys).agg(F.max("total").alias("n"), *picks)
+    size = F.coalesce(F.max("total"), F.lit(0)).alias("n")
+    picked = placed.groupBy(*keys).agg(size, *picks)
     results = []
     for i, position in enumerate(_positions(F.col("n"), probabilities, method)):
         low, high = F.col(f"at{2 * i}"), F.col(f"at{2 * i + 1}")

@@ -101,3 +101,11 @@ def test_poisson_weights_have_mean_and_variance_one(spark):
     )
     row = draws.agg(F.avg("w").alias("m"), F.var_pop("w").alias("v")).first()
     assert abs(row["m"] - 1) < 1e-3 and abs(row["v"] - 1) < 2e-3
+
+
+def test_tables_without_values(spark):
+    empty = spark.createDataFrame([(None,)], "v double")
+    assert D.histogram(empty, "v").count() == 0
+    assert D.histogram(empty, "v", 5).count() == 0
+    assert D.kernel_density(empty, "v").count() == 0
+    assert D.gamma_fit(empty, "v").first()["shape"] is None

@@ -97,3 +97,24 @@ def test_raw_rows_are_joined_by_broadcast_not_shuffled(spark, sf_dir):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in text
+
+
+def test_a_table_without_values_gives_no_rows(spark):
+    empty = spark.createDataFrame([("a", None)], "k string, v double")
+    assert Q.five_numbers(empty, "v", ["k"]).count() == 0
+    assert Q.box_stats(empty, "v", ["k"]).count() == 0
+    assert Q.box_stats(empty, "v").count() == 0
+
+
+def test_one_value_in_most_rows_and_many_keys(spark):
+    """A third of all rows share one key and one value; the other keys are many."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20_000).alias("k"),
+        F.when(F.col("id") % 3 == 0, 10_000.0).otherwise(F.col("id").cast("double")).alias("v"),
+    )
+    found = Q.quantiles(df, "v", (0.5,), ("m",), ["k"])
+    expected = df.groupBy("k").agg(F.percentile("v", 0.5).alias("e"), F.count("v").alias("c"))
+    wrong = found.join(expected, "k", "full").where(
+        ~(F.col("m").eqNullSafe(F.col("e")) & F.col("n").eqNullSafe(F.col("c")))
+    )
+    assert wrong.count() == 0
