@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskbook.llm import mixing, quality_rules, url_filters
+from riskbook.llm import chat_format, html_text, mixing, quality_rules, url_filters
 from riskbook.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,18 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    awkward = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", awkward), (-1, 1, "assistant", awkward)], rows.schema
+    )
+    return chat_format.read_back(chat_format.format_chats(rows.unionByName(extra)))
