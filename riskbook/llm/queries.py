@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskbook.llm import chat_format, html_text, mixing, quality_rules, url_filters
+from riskbook.llm import (
+    chat_format,
+    html_text,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    url_filters,
+)
 from riskbook.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +54,9 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-1, 0, "user", awkward), (-1, 1, "assistant", awkward)], rows.schema
     )
     return chat_format.read_back(chat_format.format_chats(rows.unionByName(extra)))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_classifier.quality_scores(docs, labels)
