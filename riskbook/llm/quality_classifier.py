@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from riskbook.llm.common import stored
 from riskbook.llm.quality_rules import LISTED
 
-MOST_POSITIVES = 12_000
-MOST_UNLABELLED = 12_000
-BINS = 12
-STEPS = 400
+MOST_POSITIVES = 10_000
+MOST_UNLABELLED = 10_000
+BINS = 20
+STEPS = 2000
 RATE = 0.05
 PENALTY = 1e-4
 CUT = 0.7
