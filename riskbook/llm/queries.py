@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskbook.llm import (
@@ -12,10 +13,14 @@ from riskbook.llm import (
     mixing,
     quality_classifier,
     quality_rules,
+    token_files,
     url_filters,
 )
 from riskbook.llm.common import read_table
 
+VOCABULARY = "word_bpe_49k.json"
+END_ID = 1
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -60,3 +65,9 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     return quality_classifier.quality_scores(docs, labels)
+
+
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return token_files.tokenized(documents, public_tokenizers.path(VOCABULARY), END_ID)
