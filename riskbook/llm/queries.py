@@ -11,6 +11,7 @@ from riskbook.llm import (
     chat_format,
     html_text,
     mixing,
+    near_dedup,
     quality_classifier,
     quality_rules,
     token_files,
@@ -71,3 +72,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return token_files.tokenized(documents, public_tokenizers.path(VOCABULARY), END_ID)
+
+
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"), size=2)
