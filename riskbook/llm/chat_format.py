@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -40,6 +41,8 @@ OTHER_OPEN, OTHER_HEAD_END, OTHER_CLOSE = "[ROLE ", "] ", " [/ROLE]\n"
 _CONTROL = re.compile(r"(\\*)(</?s>|\[/?(?:INST|SYS|ANS|ROLE)\b)")
 _ESCAPED = re.compile(r"\\(\\*)(</?s>|\[/?(?:INST|SYS|ANS|ROLE)\b)")
 PROBES = ("A", "B")
+LEAST_SEGMENT = 8
+CONTEXT_TURNS = 2
 
 
 def escape(text: str) -> str:
@@ -85,39 +88,78 @@ def parse(formatted: str) -> list[Turn]:
     return turns
 
 
+def _text_place(turns: Sequence[Turn], template: Render) -> tuple[int, int]:
+    """Where the text of the last turn begins in the output, and how much of the output follows it."""
+    role = turns[-1][0]
+    first, second = (template([*turns[:-1], (role, probe)]) for probe in PROBES)
+    begin = len(os.path.commonprefix([first, second]))
+    return begin, len(first) - begin - len(PROBES[0])
+
+
+def _pieces(turns: Sequence[Turn], template: Render, role: str, low: int, start: int, end: int):
+    """What each of turns[start:end] appends to the rendering of turns[low:], as (piece, place of its text
+    within the piece or None); None if one of them changes what stood before."""
+    before = template(turns[low:start])
+    found = []
+    for i in range(start, end):
+        output = template(turns[low : i + 1])
+        if not output.startswith(before):
+            return None
+        place = None
+        if turns[i][0] == role:
+            begin, tail = _text_place(turns[low : i + 1], template)
+            if len(before) <= begin <= len(output) - tail:
+                place = (begin - len(before), len(output) - tail - len(before))
+        found.append((output[len(before) :], place))
+        before = output
+    return found
+
+
 def locate(turns: Sequence[Turn], template: Render, role: str = "assistant") -> dict:
     """Render the prefixes of a conversation.
 
     Gives ``formatted``; ``starts`` and ``ends`` of the turns' spans (None where unknown); ``rewrites``,
     the turns at which the template changed earlier output; ``loss``, the (start, end) of the texts of
     ``role`` in ``formatted``.
+
+    Rendering every prefix whole takes time with the square of the turns, so the turns are cut into about
+    sqrt(turns) segments. Whole prefixes are rendered at the ends of segments; within one, prefixes start a
+    few turns before the segment, and what they give must add up to what the whole prefixes differ
+    by. If it does not, or something is rewritten, the segment is done again with whole prefixes.
     """
-    outputs = [template(turns[:0])]
+    n = len(turns)
+    step = max(LEAST_SEGMENT, math.isqrt(n))
     starts: list[int | None] = []
     ends: list[int | None] = []
     loss: list[tuple[int, int]] = []
     rewrites: list[int] = []
-    for i, (turn_role, _) in enumerate(turns):
-        output = template(turns[: i + 1])
-        if not output.startswith(outputs[-1]):
-            rewrites.append(i)
-            starts, ends, loss = [None] * i, [None] * i, []
-            starts.append(None)
-            ends.append(None)
-            outputs = [output]
-            continue
-        starts.append(len(outputs[-1]))
-        ends.append(len(output))
-        if turn_role == role:
-            first, second = (template([*turns[:i], (turn_role, probe)]) for probe in PROBES)
-            begin = len(os.path.commonprefix([first, second]))
-            tail = len(first) - begin - len(PROBES[0])
-            if begin >= starts[-1] and len(output) - tail >= begin:
-                loss.append((begin, len(output) - tail))
-        outputs = [output]
-    return {
-        "formatted": outputs[-1], "starts": starts, "ends": ends, "rewrites": rewrites, "loss": loss,
-    }
+    whole = template(turns[:0])
+
+    def append(pieces: list, at: int) -> None:
+        for piece, place in pieces:
+            starts.append(at)
+            if place:
+                loss.append((at + place[0], at + place[1]))
+            at += len(piece)
+            ends.append(at)
+
+    for start in range(0, n, step):
+        end = min(n, start + step)
+        longer = template(turns[:end])
+        pieces = _pieces(turns, template, role, max(0, start - CONTEXT_TURNS), start, end)
+        if pieces is not None and whole + "".join(p for p, _ in pieces) == longer:
+            append(pieces, len(whole))
+        else:
+            for i in range(start, end):
+                output = template(turns[: i + 1])
+                pieces = _pieces(turns, template, role, 0, i, i + 1)
+                if pieces is None:
+                    rewrites.append(i)
+                    starts[:], ends[:], loss[:] = [None] * (i + 1), [None] * (i + 1), []
+                else:
+                    append(pieces, len(output) - len(pieces[0][0]))
+        whole = longer
+    return {"formatted": whole, "starts": starts, "ends": ends, "rewrites": rewrites, "loss": loss}
 
 
 _SCHEMA = (
