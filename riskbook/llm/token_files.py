@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 
 from riskbook.llm.common import stored
 
-BLOCK_IDS = 3_000_000
-LANES = 8192
+BLOCK_IDS = 6_000_000
+LANES = 16384
 LEAST_LANE = 128  # ids in a lane
 MAGIC = b"CMR1"
 HEADER = "<4sIIIII"  # magic, crc32 of what follows it, documents, ids, lanes, steps
 
-MOST_PIECES = 800_000  # whose ids a worker remembers
+MOST_PIECES = 1_500_000  # whose ids a worker remembers
 CONTEXT_BITS = 18
 MOST_CONFIDENCE = 7
 SLOT_BITS = 16
