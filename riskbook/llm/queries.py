@@ -13,6 +13,7 @@ from riskbook.llm import (
     html_text,
     mixing,
     near_dedup,
+    pii,
     quality_classifier,
     quality_rules,
     token_files,
@@ -117,3 +118,8 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
+
+
+@query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digested(pii.personal_data(read_table(spark, sf_dir, "documents")))
