@@ -154,30 +154,27 @@ def mix(docs: DataFrame, key: str = "doc_id", weights: Sequence[int] = WEIGHTS)
     """The mixed rows, with the columns of ``docs``: whole documents once per epoch that takes them, and
     per source at most one document cut after the last word within the budget (``n_chars``, if there,
     is that of the cut text)."""
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    taken = taken_words(numbered, key=key, carry=["_row"], weights=weights)
+    everything = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("row"), everything.alias("doc")), "numbered")
+    named = numbered.select("row", *[F.col(f"doc.`{c}`").alias(c) for c in (key, "text", "source")])
+    taken = taken_words(named, key=key, carry=["row"], weights=weights)
     plan = taken.select(
-        F.col("_row").alias("_taken_row"),
-        F.expr("CASE WHEN size > 0 THEN taken div size ELSE 0 END").alias("_whole"),
-        F.expr("CASE WHEN size > 0 THEN taken % size ELSE 0 END").alias("_part"),
-    ).filter((F.col("_whole") > 0) | (F.col("_part") > 0))
+        F.col("row").alias("taken_row"),
+        F.expr("CASE WHEN size > 0 THEN taken div size ELSE 0 END").alias("wholes"),
+        F.expr("CASE WHEN size > 0 THEN taken % size ELSE 0 END").alias("part"),
+    ).filter((F.col("wholes") > 0) | (F.col("part") > 0))
     copies = F.concat(
-        F.array_repeat(F.lit(None).cast("bigint"), F.col("_whole").cast("int")),
-        F.when(F.col("_part") > 0, F.array("_part")).otherwise(F.array().cast("array<bigint>")),
-    )
-    rows = numbered.join(plan, F.col("_row") == F.col("_taken_row")).withColumn(
-        "_cut", F.explode(copies)
-    )
-    is_cut = F.col("_cut").isNotNull()
-    rows = rows.withColumn(
-        "_head", _first_words(F.when(is_cut, F.col("text")), F.col("_cut"))
+        F.array_repeat(F.lit(None).cast("bigint"), F.col("wholes").cast("int")),
+        F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>")),
     )
+    rows = numbered.join(plan, F.col("row") == F.col("taken_row")).select("doc", F.explode(copies).alias("cut"))
+    is_cut = F.col("cut").isNotNull()
+    rows = rows.select("doc", "cut", _first_words(F.when(is_cut, F.col("doc.text")), F.col("cut")).alias("head"))
+    changed = {"text": F.col("head"), "n_chars": F.length("head").cast("bigint")}
     columns = []
     for name in docs.columns:
-        column = F.col(f"`{name}`")
-        if name == "text":
-            column = F.when(is_cut, F.col("_head")).otherwise(column)
-        elif name == "n_chars":
-            column = F.when(is_cut, F.length("_head").cast("bigint")).otherwise(column)
+        column = F.col(f"doc.`{name}`")
+        if name in changed:
+            column = F.when(is_cut, changed[name]).otherwise(column)
         columns.append(column.alias(name))
     return rows.select(*columns)
