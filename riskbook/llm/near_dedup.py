@@ -9,7 +9,7 @@ are candidates, which misses a pair of similarity 0.8 once in 20 million.
 Large groups are not paired out. Every bucket names one hub, and only (hub, member) pairs are examined: first by
 the likelihood of the two sketches together, which drops pairs far below the limit, then by the full sets of
 words. What got linked is one component; only buckets that still hold several components go on, with other
-hubs, until their remaining pairs are no more than a few per class, and all of those are examined. So every
+hubs, until their remaining pairs are no more than the rows of the bucket table, and all of those are examined. So every
 candidate pair is examined or lies within one component, and the components are exact.
 
 Defined cases: texts without words, and NULL texts, are empty sets, linked with nothing; a text with fewer
@@ -38,7 +38,7 @@ RATE = 20.0  # of the exponential variates
 MOST_REGISTER = 2**16 - 1
 LEAST_PERCENT = 80
 SKETCH_MARGIN = 0.25  # a pair estimated this far below the limit is dropped: seven deviations
-PAIRS_PER_CLASS = 4  # when no more remain, all are examined
+PAIRS_PER_CLASS = REGISTERS // ROWS  # when no more remain, as many as bands, all are examined
 HUB_ROUNDS = 8
 
 _MULTIPLIERS = (
