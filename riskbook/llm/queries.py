@@ -13,6 +13,7 @@ from riskbook.llm import (
     html_text,
     mixing,
     near_dedup,
+    oracles,
     pii,
     quality_classifier,
     quality_rules,
@@ -89,35 +90,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ORACLES["op5_decontamination"] = """
-WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
-  FROM documents),
-b AS (
-  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
-  FROM benchmark),
-bw AS (
-  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS g
-  FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i) WHERE len(w) > 0),
-sizes AS (SELECT DISTINCT n FROM bw),
-dw AS (
-  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
-  FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) WHERE len(w) >= n),
-hit AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (n, g)),
-covered AS (
-  SELECT r, count(DISTINCT p) AS n_hit
-  FROM hit, LATERAL (SELECT unnest(range(i, i + n)) AS p) GROUP BY r),
-named AS (
-  SELECT r, count(DISTINCT item_id) AS n_items,
-    string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
-  FROM hit GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
-"""
+ORACLES |= {
+    "op2_source_mixing": oracles.MIXING,
+    "op5_decontamination": oracles.DECONTAMINATION,
+    "op7_url_filters": oracles.URL_FILTERS,
+    "op9_quality_rules": oracles.QUALITY,
+}
 
 
 @query
