@@ -54,6 +54,7 @@ DROPPED_NAMES = frozenset(
     " signup social sponsor sponsored subscribe toolbar widget".split()
 )
 ARTICLES = frozenset({"article", "main"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
@@ -103,11 +104,18 @@ def build_tree(page: str) -> Tree:
     tree = Tree()
     open_: list[tuple[str, int]] = [("", 0)]  # number -1: within a dropped element
     position = 0
+    headers = 0  # so far
 
     def text(piece: str) -> None:
         number = open_[-1][1]
-        if piece and number >= 0:
-            tree.items[number].append(html.unescape(piece))
+        if not piece or number < 0:
+            return
+        if headers:
+            # Of a header inside an article only its headings belong to the text.
+            names = {name for name, _ in open_}
+            if "header" in names and names.isdisjoint(HEADINGS):
+                return
+        tree.items[number].append(html.unescape(piece))
 
     def close(tag: str, scope: frozenset = frozenset()) -> None:
         for depth in range(len(open_) - 1, 0, -1):
@@ -135,6 +143,7 @@ def build_tree(page: str) -> Tree:
             close("p", frozenset(CLOSES_P - {"p"}))
         for sibling in SIBLINGS.get(tag, ()):
             close(sibling, SIBLING_SCOPE)
+        headers += tag == "header"
         parent = open_[-1][1]
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, position)

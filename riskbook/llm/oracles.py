@@ -75,7 +75,8 @@ def _strength(children: str) -> str:
     rho = f"CASE WHEN {excess} <> 0 THEN ({over}) / {excess} END"
     most, least = urls.MOST_STRENGTH, urls.LEAST_STRENGTH
     return (
-        f"(SELECT least(greatest(coalesce(CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE {most} END, {most}), {least}), {most})"
+        f"(SELECT least(greatest(CASE WHEN rho IS NULL THEN {least} WHEN rho > 0 THEN 1 / rho - 1 ELSE {most} END,"
+        f" {least}), {most})"
         f" FROM (SELECT {rho} AS rho FROM {children}))"
     )
 

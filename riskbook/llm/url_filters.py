@@ -79,8 +79,9 @@ def _strength(children: DataFrame) -> DataFrame:
     excess = F.sum(n * (n - 1) * mean * (1 - mean))
     # E[(k - n mean)^2] = n mean (1 - mean) (1 + (n - 1) rho), and strength = 1 / rho - 1.
     rho = F.try_divide(observed - chance, excess)
-    strength = F.when(rho > 0, 1 / rho - 1).otherwise(MOST_STRENGTH)
-    bounded = F.least(F.greatest(F.coalesce(strength, F.lit(MOST_STRENGTH)), F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
+    # Nothing to tell it from: the weakest prior. No spread beyond chance: the strongest.
+    strength = F.when(rho.isNull(), LEAST_STRENGTH).when(rho > 0, 1 / rho - 1).otherwise(MOST_STRENGTH)
+    bounded = F.least(F.greatest(strength, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
     return children.agg(bounded.alias("strength"))
 
 
