@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskbook.catalog.exploration_queries import TROUBLED, sql_axis
@@ -41,7 +41,8 @@ def histogram_sql(value: str, bins: int | None) -> str:
         FROM r
     ), w AS (SELECT n, low, bins, (high - low) / bins AS width FROM s),
     c AS (
-        SELECT least(CAST(floor(({value} - low) / width) AS BIGINT), bins - 1) AS bin, count(*) AS held
+        SELECT least(CAST(floor(({value} - low) / width) AS BIGINT), bins - 1) AS bin, count(*) AS held,
+               avg({value} - low) AS middle
         FROM loans, w GROUP BY 1
     ), a AS (SELECT unnest(range(0, bins)) AS bin, n, low, width FROM w)
     SELECT a.bin, round(low + a.bin * width, 6) AS low, round(low + (a.bin + 1) * width, 6) AS high,
@@ -65,39 +66,34 @@ for _name, _value, _bins in (
 # --- kernel densities ---------------------------------------------------------------------------------
 
 
-def density_sql(value: str, keys: tuple[str, ...], points: int, fine: int = 512, cut: float = 2.0) -> str:
+def shape_sql(value: str, keys: tuple[str, ...]) -> str:
+    listed = "".join(f"{k}, " for k in keys)
+    return f"""
+        SELECT {listed} count({value}) AS n, min({value}) AS low, max({value}) AS high,
+               sqrt(var_samp({value})) * power(CAST(count({value}) AS DOUBLE), -0.2) AS h
+        FROM loans WHERE {value} IS NOT NULL GROUP BY {', '.join(keys) or '()'}
+    """
+
+
+def density_sql(value: str, keys: tuple[str, ...], points: int, fine: int = 8, cut: float = 2.0) -> str:
     listed = "".join(f"{k}, " for k in keys)
-    grouped = ", ".join(keys) or "()"
     matched = " AND ".join(f"g.{k} = b.{k}" for k in keys) or "true"
-    prefixed = "".join(f"b.{k}, " for k in keys)
+    prefixed = "".join(f"g.{k}, " for k in keys)
     return f"""
-    WITH f AS (
-        SELECT min({value}) AS low0,
-               (CASE WHEN max({value}) > min({value}) THEN max({value}) - min({value}) ELSE 1.0 END)
-                   / {fine} AS width
-        FROM loans WHERE {value} IS NOT NULL
-    ), b AS (
-        SELECT {listed} least(CAST(floor(({value} - low0) / width) AS BIGINT), {fine - 1}) AS bin,
-               count(*) AS held, low0, width
-        FROM loans, f WHERE {value} IS NOT NULL
-        GROUP BY {listed} bin, low0, width
-    ), g AS (
-        SELECT {listed} count({value}) AS n,
-               stddev_samp({value}) * power(CAST(count({value}) AS DOUBLE), -0.2) AS h,
-               min({value} - low0) AS lo, max({value} - low0) AS hi
-        FROM loans, f WHERE {value} IS NOT NULL GROUP BY {grouped}
-    ), k AS (
-        SELECT {prefixed} p.point,
-               low0 + (lo - {cut} * h + p.point * ((hi - lo + 2 * {cut} * h) / {points - 1})) AS x,
-               held * exp(-0.5 * power(((lo - {cut} * h + p.point * ((hi - lo + 2 * {cut} * h)
-                   / {points - 1})) - (bin + 0.5) * width) / h, 2)) / (n * h * {math.sqrt(2 * math.pi)!r})
-                   AS kernel
-        FROM b JOIN g ON {matched}, range(0, {points}) p(point)
-        WHERE h > 0
+    WITH g AS (SELECT * FROM ({shape_sql(value, keys)}) WHERE h > 0),
+    b AS (
+        SELECT {prefixed} floor(({value} - low) / (h / {fine})) AS bin, count(*) AS held,
+               avg({value} - low) AS middle
+        FROM loans b JOIN g ON {matched} WHERE {value} IS NOT NULL GROUP BY {prefixed} bin
+    ), p AS (
+        SELECT g.*, point, point * ((high - low + 2 * {cut} * h) / {points - 1}) - {cut} * h AS spot
+        FROM g, range(0, {points}) r(point)
     )
-    SELECT {listed} CAST(point AS BIGINT) AS point, round(max(x), 4) AS x,
-           round(sum(kernel), 10) AS density
-    FROM k GROUP BY {listed} point
+    SELECT {prefixed} CAST(g.point AS BIGINT) AS point, round(g.low + g.spot, 4) AS x,
+           round(coalesce(sum(held * exp(-0.5 * power((spot - middle) / h, 2))
+               / (n * h * {math.sqrt(2 * math.pi)!r})), 0), 10) AS density
+    FROM p g LEFT JOIN b ON {matched} AND abs(spot - middle) <= 6 * h
+    GROUP BY {prefixed} g.point, g.low, g.spot
     """
 
 
@@ -117,6 +113,55 @@ for _name, _value, _keys, _points in (
         return rounded(rounded(found, 4, ["x"]), 10, ["density"])
 
 
+# The kernel summed over the rows themselves, with no bins, at a few points; and how far the binned curve is
+# from it, as a share of the peak. One income of fifty million makes the range some hundred times wider.
+_POINTS = 16
+_WILD = "CASE WHEN id = (SELECT min(id) FROM loans) THEN 5e7 ELSE annual_inc END"
+
+
+@query(
+    "kde_against_rows",
+    f"""
+    WITH t AS (SELECT grade, {_WILD} AS v FROM loans WHERE annual_inc IS NOT NULL),
+    g AS (
+        SELECT grade, count(*) AS n, min(v) AS low, max(v) AS high,
+               sqrt(var_samp(v)) * power(CAST(count(*) AS DOUBLE), -0.2) AS h
+        FROM t GROUP BY 1
+    ), p AS (
+        SELECT g.*, point, low - 2 * h + point * ((high - low + 4 * h) / {_POINTS - 1}) AS x
+        FROM g, range(0, {_POINTS}) r(point)
+    )
+    SELECT p.grade, CAST(point AS BIGINT) AS point, round(x, 3) AS x,
+           round(sum(exp(-0.5 * power((x - v) / h, 2)) / (n * h * {math.sqrt(2 * math.pi)!r})) * 1e6, 6)
+               AS direct, true AS within_one_percent
+    FROM p JOIN t ON t.grade = p.grade GROUP BY p.grade, point, x
+    """,
+)
+def _(df):
+    least = df.agg(F.min("id").alias("m")).scalar()
+    wild = F.when(F.col("id") == least, F.lit(5e7)).otherwise(F.col("annual_inc"))
+    rows = df.select("grade", wild.alias("v")).where(F.col("annual_inc").isNotNull())
+    curve = D.kernel_density(rows, "v", ["grade"], points=_POINTS)
+    n = F.count("v")
+    spread = rows.groupBy("grade").agg(
+        n.alias("n"), (F.sqrt(F.var_samp("v")) * F.pow(n.cast("double"), F.lit(-0.2))).alias("h")
+    )
+    z = (F.col("x") - F.col("v")) / F.col("h")
+    direct = F.sum(F.exp(-0.5 * z * z) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi)))
+    exact = (
+        curve.join(spread, "grade").join(rows, "grade")
+        .groupBy("grade", "point", "x", "density").agg(direct.alias("direct"))
+    )
+    peak = F.max("direct").over(Window.partitionBy("grade"))
+    return exact.select(
+        "grade",
+        F.col("point").cast("bigint").alias("point"),
+        F.round("x", 3).alias("x"),
+        F.round(F.col("direct") * 1e6, 6).alias("direct"),
+        (F.abs(F.col("density") - F.col("direct")) < 0.01 * peak).alias("within_one_percent"),
+    )
+
+
 # --- gamma fits -----------------------------------------------------------------------------------------
 
 
@@ -326,7 +371,7 @@ def bootstrap_sql(key: str, statistic: str, replicates: int, buckets: int) -> st
         total += math.exp(-1) / math.factorial(k)
         steps.append(f"CAST(u >= {total!r} AS INTEGER)")
     total = "CAST(sum(w * s) AS DOUBLE)"
-    estimate = total if statistic == "sum" else f"{total} / sum(w * n)"
+    estimate = f"{total} / sum(w * n)" + (" * sum(n)" if statistic == "sum" else "")
     return f"""
     WITH b AS (
         SELECT {key}, CAST('0x' || substr(md5(id || '|1395'), 1, 8) AS BIGINT) % {buckets} AS bucket,
@@ -357,3 +402,25 @@ for _name, _key, _statistic in (
             df, [key], "loan_amnt", ["id"], statistic, replicates=81, buckets=64
         )
         return rounded(found, 3, ["low", "high"])
+
+
+# The resampled interval of the sum against the closed form, which knows nothing of buckets.
+@query(
+    "bootstrap_sum_width",
+    """
+    SELECT loan_status, count(loan_amnt) AS n,
+           round(1.96 * stddev_samp(loan_amnt) * sqrt(count(loan_amnt)), 2) AS half_width,
+           true AS within_fifth
+    FROM loans GROUP BY 1
+    """,
+)
+def _(df):
+    drawn = I.bootstrap_interval(df, ["loan_status"], "loan_amnt", ["id"], "sum", replicates=600)
+    closed = I.normal_interval(df, ["loan_status"], "loan_amnt", "sum")
+    half = (F.col("c.high") - F.col("c.low")) / 2
+    return closed.alias("c").join(drawn.alias("d"), "loan_status").select(
+        "loan_status",
+        F.col("c.n").alias("n"),
+        F.round(half, 2).alias("half_width"),
+        (F.abs((F.col("d.high") - F.col("d.low")) / 2 / half - 1) < 0.2).alias("within_fifth"),
+    )

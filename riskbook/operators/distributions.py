@@ -8,26 +8,35 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.operators.lookup import measured
+from riskbook.operators.lookup import attach, measured
 from riskbook.operators.quantiles import measurements, quantiles
 
 MOST_BINS = 50
+_REACH = 6  # bandwidths beyond which a kernel counts for nothing
 
 
-def freedman_diaconis(n: Column, q1: Column, q3: Column, low: Column, high: Column) -> Column:
-    """Bin count from the interquartile range, at most 50; root-n bins where that range is zero."""
+def freedman_diaconis(
+    n: Column, q1: Column, q3: Column, low: Column, high: Column, most: int = MOST_BINS
+) -> Column:
+    """Bin count from the interquartile range; root-n bins where that range is zero.
+
+    At most ``most`` bins, since a chart can show no more; a table of counts may ask for any number.
+    """
     width = 2 * (q3 - q1) * F.pow(n.cast("double"), F.lit(-1.0 / 3.0))
     bins = F.when(width > 0, F.ceil((high - low) / width)).otherwise(
         F.floor(F.sqrt(n.cast("double")))
     )
-    return F.greatest(F.least(bins, F.lit(MOST_BINS).cast("bigint")), F.lit(1).cast("bigint"))
+    return F.greatest(F.least(bins, F.lit(most).cast("bigint")), F.lit(1).cast("bigint"))
 
 
-def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
+def histogram(
+    df: DataFrame, value: str, bins: int | None = None, most_bins: int = MOST_BINS
+) -> DataFrame:
     """Bins of equal width over the range of one column: edges, count and density, empty bins too.
 
     The range and the bin count reach the rows as a scalar subquery, so the rows are read, binned
@@ -39,7 +48,7 @@ def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
             df, value, (0.0, 0.25, 0.75, 1.0), ("low", "q1", "q3", "high")
         ).withColumn(
             "bins",
-            freedman_diaconis(*[F.col(c) for c in ("n", "q1", "q3", "low", "high")]),
+            freedman_diaconis(*[F.col(c) for c in ("n", "q1", "q3", "low", "high")], most=most_bins),
         )
     else:
         range_of = rows.agg(
@@ -84,78 +93,68 @@ def kernel_density(
     value: str,
     keys: Sequence[str] = (),
     points: int = 64,
-    fine_bins: int = 512,
+    bins_per_bandwidth: int = 8,
     cut: float = 2.0,
 ) -> DataFrame:
-    """Gaussian kernel density per group on an even grid, from a fine histogram.
+    """Gaussian kernel density per group on an even grid.
 
     Bandwidth is Scott's rule on the group's own spread; the grid runs ``cut`` bandwidths past the
-    group's smallest and largest value. One pass counts the rows per (group, fine bin) together
-    with the sums that give the group's spread. What follows is at most ``fine_bins`` x ``points``
-    kernel terms per group, however many rows there are. Groups with no spread have no density.
+    group's smallest and largest value. One pass takes count, variance and range of each group, a
+    second one counts rows in bins of a fixed share of that group's bandwidth. Only filled bins
+    exist, so a far outlier costs one bin, and a bin reaches only the grid points within six
+    bandwidths. A bin stands at the mean of its values, so the error is of second order in a
+    share of the bandwidth, whatever the number of rows or the range. Groups with no spread have no density.
     """
     keys = list(keys)
     rows = measurements(df, value, keys)
-    frame = rows.agg(
-        F.struct(
-            F.min("value").alias("low"),
-            (
-                F.when(F.max("value") > F.min("value"), F.max("value") - F.min("value")).otherwise(1.0)
-                / fine_bins
-            ).alias("width"),
-        ).alias("frame")
-    )
-    offset = F.col("value") - F.col("frame.low")
-    binned = (
-        rows.withColumn("frame", frame.scalar())
-        .select(
-            *keys,
-            "frame",
-            offset.alias("x"),
-            F.least(F.floor(offset / F.col("frame.width")), F.lit(fine_bins - 1).cast("bigint")).alias(
-                "bin"
-            ),
-        )
-        .groupBy(*keys, "bin", "frame")
+    n = F.count("value")
+    shape = (
+        rows.groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("held"),
-            F.sum("x").alias("s"),
-            F.sum(F.col("x") * F.col("x")).alias("ss"),
-            F.min("x").alias("low"),
-            F.max("x").alias("high"),
-        )
-    )
-    group = Window.partitionBy(*keys)
-    n = F.sum("held").over(group)
-    spread = F.sqrt(
-        F.greatest(
-            F.sum("ss").over(group) - F.sum("s").over(group) * F.sum("s").over(group) / n, F.lit(0.0)
-        )
-        / (n - 1)
-    )
-    shaped = (
-        binned.select(
-            *keys,
-            "held",
-            "frame",
-            ((F.col("bin") + 0.5) * F.col("frame.width")).alias("middle"),
             n.alias("n"),
-            F.when(n > 1, spread * F.pow(n.cast("double"), F.lit(-0.2))).alias("h"),
-            F.min("low").over(group).alias("first"),
-            F.max("high").over(group).alias("last"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            (F.sqrt(F.var_samp("value")) * F.pow(n.cast("double"), F.lit(-0.2))).alias("h"),
         )
         .where(F.col("h") > 0)
     )
-    start = F.col("first") - cut * F.col("h")
-    step = (F.col("last") - F.col("first") + 2 * cut * F.col("h")) / (points - 1)
-    spot = start + F.col("point") * step
-    z = (spot - F.col("middle")) / F.col("h")
+    columns = ("n", "low", "high", "h")
+    if keys:
+        shaped = attach(rows, shape, keys, columns)
+    else:
+        one = shape.select(F.struct(*columns).alias("shape")).scalar()
+        shaped = rows.withColumn("shape", one).select("value", "shape.*")
+    width = F.col("h") / bins_per_bandwidth
+    held = (
+        shaped.where(F.col("h") > 0)
+        .groupBy(*keys, *columns, F.floor((F.col("value") - F.col("low")) / width).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("held"), F.avg(F.col("value") - F.col("low")).alias("middle"))
+    )
+    start = -cut * F.col("h")
+    step = (F.col("high") - F.col("low") + 2 * cut * F.col("h")) / (points - 1)
+    middle = F.col("middle")
+    first = F.greatest(F.ceil((middle - _REACH * F.col("h") - start) / step), F.lit(0))
+    last = F.least(F.floor((middle + _REACH * F.col("h") - start) / step), F.lit(points - 1))
+    z = (start + F.col("point") * step - middle) / F.col("h")
     kernel = F.col("held") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))
-    return (
-        shaped.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .select(*keys, "point", (F.col("frame.low") + spot).alias("x"), kernel.alias("kernel"))
+    dense = (
+        held.where(first <= last)
+        .withColumn("point", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
         .groupBy(*keys, "point")
-        .agg(F.max("x").alias("x"), F.sum("kernel").alias("density"))
+        .agg(F.sum(kernel).alias("density"))
+    )
+    grid = shape.select(
+        *keys,
+        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+        (F.col("low") + start + F.col("point") * step).alias("x"),
+    )
+    tests = [grid[k].eqNullSafe(dense[k]) for k in keys]
+    matched = reduce(lambda a, b: a & b, tests, grid["point"] == dense["point"])
+    return grid.join(dense, matched, "left").select(
+        *[grid[k] for k in keys],
+        grid["point"],
+        "x",
+        F.coalesce("density", F.lit(0.0)).alias("density"),
     )
 
 

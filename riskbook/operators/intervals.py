@@ -55,7 +55,9 @@ def bootstrap_interval(
     Every row falls into one of ``buckets`` by the hash of its ``identity``; a group then is that
     many (count, sum) pairs, made in one pass. Replicates reweight buckets, so their cost is
     groups x buckets x replicates and does not grow with the rows, and a group holding a third of
-    the table is spread over its buckets. Weights come from hashes and, with a ``scale``, sums are
+    the table is spread over its buckets. ``buckets`` only sets how well the width is known, to about
+    1 / sqrt(2 x buckets). A resample has as many rows as the group, so the sum is the group's
+    number of rows times the resampled mean. Weights come from hashes and, with a ``scale``, sums are
     exact decimals: a rerun gives the same interval.
     """
     keys = list(keys)
@@ -71,7 +73,8 @@ def bootstrap_interval(
         "replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))
     ).withColumn("weight", poisson_weight(uniform))
     total = F.sum(F.col("weight") * F.col("s")).cast("double")
-    estimate = total if statistic == "sum" else F.try_divide(total, F.sum(F.col("weight") * F.col("n")))
+    mean = F.try_divide(total, F.sum(F.col("weight") * F.col("n")))
+    estimate = mean * F.sum("n") if statistic == "sum" else mean
     tails = F.percentile(
         "estimate", F.array(F.lit((1 - level) / 2), F.lit((1 + level) / 2))
     )

@@ -100,7 +100,7 @@ def fit_on_components(
     return PipelineModel(stages=[*encoder.stages, *reduced.stages, model])
 
 
-def compare_models(fitted: Mapping[str, PipelineModel], test: DataFrame, bins: int | None = 1000):
+def compare_models(fitted: Mapping[str, PipelineModel], test: DataFrame, bins: int | None = None):
     """Score the test rows with every model and put their measures side by side.
 
     The counts and the curve both read the scores, so each scored set is narrowed to what they need

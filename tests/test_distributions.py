@@ -36,7 +36,7 @@ def test_histogram_of_a_constant(spark):
 
 
 def test_density_integrates_to_one_and_follows_the_kernel_sum(table, sample):
-    rows = D.kernel_density(table, "v", points=200, fine_bins=2000, cut=5).orderBy("point").collect()
+    rows = D.kernel_density(table, "v", points=200, cut=5).orderBy("point").collect()
     x = np.array([r["x"] for r in rows])
     density = np.array([r["density"] for r in rows])
     assert math.isclose(np.trapezoid(density, x), 1.0, rel_tol=1e-3)
@@ -80,9 +80,20 @@ def test_gamma_fit_of_a_constant_is_null(spark):
     assert D.gamma_fit(df, "v").first()["shape"] is None
 
 
-def test_bootstrap_agrees_with_the_closed_form(table, sample):
-    closed = {r["k"]: r for r in I.normal_interval(table, ["k"], "v", scale=None).collect()}
-    drawn = I.bootstrap_interval(table, ["k"], "v", ["i"], replicates=400, scale=None)
+def test_density_beside_outliers(spark, sample):
+    wild = np.append(sample, [-9e4, 2e5])
+    df = spark.createDataFrame([(float(v),) for v in wild], "v double")
+    rows = D.kernel_density(df, "v", points=400).collect()
+    h = wild.std(ddof=1) * len(wild) ** -0.2
+    x = np.array([r["x"] for r in rows])
+    exact = np.exp(-0.5 * ((x[:, None] - wild) / h) ** 2).sum(1) / (len(wild) * h * math.sqrt(2 * math.pi))
+    assert np.abs(np.array([r["density"] for r in rows]) - exact).max() < 0.01 * exact.max()
+
+
+@pytest.mark.parametrize("statistic", ["mean", "sum"])
+def test_bootstrap_agrees_with_the_closed_form(table, sample, statistic):
+    closed = {r["k"]: r for r in I.normal_interval(table, ["k"], "v", statistic, scale=None).collect()}
+    drawn = I.bootstrap_interval(table, ["k"], "v", ["i"], statistic, replicates=400, scale=None)
     for row in drawn.collect():
         width = closed[row["k"]]["high"] - closed[row["k"]]["low"]
         assert abs((row["high"] - row["low"]) / width - 1) < 0.35
