@@ -21,6 +21,7 @@ HEADLINE = (
     "loans_per_quarter",
     "amount_by_issue_date",
     "median_amount_by_quarter",
+    "sketch_median_amount_by_quarter",
     "median_rate_by_state",
     "status_counts_desc",
     "default_by_verification",

@@ -326,11 +326,15 @@ def _(df):
     )
 
 
-@query("feature_selection")
+@query(
+    "feature_selection",
+    f"WITH {LABELLED} SELECT * FROM ({' UNION ALL '.join(anova_sql(c) for c in MEASURES)})"
+    " ORDER BY f_value DESC LIMIT 3",
+)
 def _(df):
     """The three measures that differ most between the classes, by the library's selector."""
     rows = labelled(df).select(X.LABEL, *MEASURES)
     packed = X.assembler(MEASURES).transform(rows)
     chosen = X.select_by_score(packed, 3, label=X.LABEL).selectedFeatures
     kept = [MEASURES[i] for i in sorted(chosen)]
-    return X.anova_scores(rows, kept, X.LABEL)
+    return rounded(X.anova_scores(rows, kept, X.LABEL), 6, ["f_value"])

@@ -12,13 +12,14 @@ from riskbook.catalog.registry import query
 from riskbook.functions.expressions import day, number
 from riskbook.operators.aggregates import money_sum
 from riskbook.sources import tables as T
-from riskbook.sources.session import shared_folder
+from riskbook.sources.session import remove_at_exit, shared_folder
 
 CSV_COLUMNS = ["id", "loan_amnt", "annual_inc", "grade", "emp_length", "issue_d"]
 
 
 def fresh_path(df: DataFrame, kind: str) -> str:
-    return f"{shared_folder(df.sparkSession)}/riskbook-{kind}-{uuid4().hex}"
+    spark = df.sparkSession
+    return remove_at_exit(spark, f"{shared_folder(spark)}/riskbook-{kind}-{uuid4().hex}")
 
 
 def write_csv(df: DataFrame) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions import vocabulary as V
-from riskbook.functions.expressions import bad_label, cast_numbers, missing, number
+from riskbook.functions.expressions import bad_label, cast_numbers, day, missing, number
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -131,19 +131,27 @@ def clean(
     missing_columns: Sequence[str] | None = V.MOSTLY_MISSING,
     truncate_mean: bool = True,
     keep: Sequence[str] = (),
+    dates: Sequence[str] = ("issue_d",),
+    date_pattern: str = "MM/dd/yyyy",
 ) -> DataFrame:
     """The full cleaning sequence for a raw loan table. The order matters.
 
+    Numbers are read before incomplete rows are dropped, so that an unreadable one costs its row as a
+    missing one does; so does an unreadable date in those of the ``dates`` that the table has.
+
     The balance and limit columns are dropped in the end, but are filled before incomplete rows are
     dropped: otherwise their gaps would cost rows. ``missing_columns=None`` measures which columns
     are mostly missing instead of using the known list. Columns in ``keep`` (a row key, say) pass
     through untouched and do not decide whether a row is complete.
     """
+    for date in [c for c in dates if c in df.columns]:
+        is_text = df.schema[date].dataType.typeName() == "string"
+        df = df.where((day(date, date_pattern) if is_text else F.col(date)).isNotNull())
     df = drop_missing(df, columns=missing_columns)
     df = df.drop(*[c for c in V.IDENTIFIERS + V.TEXT_AND_CONSTANTS if c not in keep])
     df = fill_settled_balances(df)
     df = fill_mean(df, "total_rev_hi_lim", truncate=truncate_mean)
+    df = cast_numbers(df, V.NUMERIC_FEATURES)
     df = drop_incomplete(df, [c for c in df.columns if c not in keep])
     df = df.withColumn("isDefault", bad_label())
-    df = cast_numbers(df, V.NUMERIC_FEATURES)
     return df.drop(V.STATUS, *V.KNOWN_ONLY_AFTER_ORIGINATION)

@@ -111,10 +111,13 @@ def cross_validate(
     )
     if key:
         search = search.setFoldCol("fold")
-    fitted = search.fit(rows)
+    try:
+        fitted = search.fit(rows)
+    finally:
+        if encoder is not None:
+            rows.unpersist()
     best = fitted.bestModel
     if encoder is not None:
-        rows.unpersist()
         best = PipelineModel(stages=[*encoder.stages, *best.stages])
     return Search(_table(train.sparkSession, points, fitted, measure), best, fitted)
 

@@ -20,10 +20,11 @@ from riskbook.functions.expressions import employment_years
 from riskbook.operators import cleaning, evaluation, models
 from riskbook.operators import features as X
 from riskbook.operators.lookup import measured
-from riskbook.sources.session import shared_folder, wide_rows
-from riskbook.sources.tables import spread, write_table
+from riskbook.sources.session import remove_at_exit, shared_folder, wide_rows
+from riskbook.sources.tables import write_table
 
 SPLIT_POINT = "split_point"
+MODEL_PARTITIONS = 16  # of the stored model table; more for tables beyond a few GB
 
 
 def model_table(
@@ -44,18 +45,20 @@ def model_table(
     return labelled.withColumnRenamed("isDefault", X.LABEL).drop(*V.ANALYSIS_COLUMNS)
 
 
-def stored(table: DataFrame) -> DataFrame:
+def stored(table: DataFrame, partitions: int = MODEL_PARTITIONS) -> DataFrame:
     """Write the model table to the shared folder and go on from the written copy.
 
     Training reads the table many times. From the copy each pass is a plain columnar scan, without
     cleaning the raw rows and averaging the fills over again, and a lost executor costs a re-read.
+    The rows are dealt to ``partitions`` files by their split point and sorted in each, so the copy does
+    not depend on how the table arrived; it is removed when the session ends.
     The class weight is best added to the copy, where measuring the classes reads one column.
     """
     spark = table.sparkSession
     with wide_rows(spark):
-        return write_table(
-            spread(table), f"{shared_folder(spark)}/riskbook-model-{uuid4().hex}"
-        )
+        path = remove_at_exit(spark, f"{shared_folder(spark)}/riskbook-model-{uuid4().hex}")
+        dealt = table.repartition(partitions, SPLIT_POINT).sortWithinPartitions(SPLIT_POINT)
+        return write_table(dealt, path)
 
 
 def split(table: DataFrame, share: float = 0.7) -> tuple[DataFrame, DataFrame]:
@@ -79,12 +82,13 @@ def fit_models(
     encoder = models.encoding_pipeline(train, **encoding).fit(train)
     vectors = encoder.transform(train).select("label", "features", X.WEIGHT)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = {
-        name: PipelineModel(stages=[*encoder.stages, model.fit(vectors)])
-        for name, model in estimators.items()
-    }
-    vectors.unpersist()
-    return fitted
+    try:
+        return {
+            name: PipelineModel(stages=[*encoder.stages, model.fit(vectors)])
+            for name, model in estimators.items()
+        }
+    finally:
+        vectors.unpersist()
 
 
 def fit_on_components(
@@ -94,9 +98,11 @@ def fit_on_components(
     encoder = models.encoding_pipeline(train, **encoding).fit(train)
     vectors = encoder.transform(train).select("label", "features", X.WEIGHT)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    reduced = X.pca_model(vectors, k, standardise=True)
-    model = estimator.fit(reduced.transform(vectors))
-    vectors.unpersist()
+    try:
+        reduced = X.pca_model(vectors, k, standardise=True)
+        model = estimator.fit(reduced.transform(vectors))
+    finally:
+        vectors.unpersist()
     return PipelineModel(stages=[*encoder.stages, *reduced.stages, model])
 
 
@@ -113,10 +119,11 @@ def compare_models(fitted: Mapping[str, PipelineModel], test: DataFrame, bins: i
         scored[name] = rows.select("label", "prediction", source).persist(
             StorageLevel.MEMORY_AND_DISK
         )
-    table = measured(evaluation.compare(scored, bins=bins))
-    for rows in scored.values():
-        rows.unpersist()
-    return table
+    try:
+        return measured(evaluation.compare(scored, bins=bins))
+    finally:
+        for rows in scored.values():
+            rows.unpersist()
 
 
 def grade_model(train: DataFrame, estimator: Estimator | None = None) -> PipelineModel:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from contextlib import contextmanager
 
@@ -49,6 +50,13 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="riskbook-")
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> str:
+    """Have an intermediate folder removed when the session's process ends; gives the path back."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path

@@ -50,16 +50,6 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table that arrives in fewer partitions than there are cores over all of them.
-
-    A small file is read by one task, and so would every pass over a copy of it be. A table with
-    enough partitions, as any large one has, is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Name the current plan for SQL. Register again after adding columns: a view is a snapshot."""
     df.createOrReplaceTempView(name)

@@ -12,7 +12,6 @@ from riskbook.operators import features as X
 from riskbook.operators import models, tuning
 from riskbook.plans import exploration, training
 from riskbook.sources.session import wide_rows
-from riskbook.sources.tables import spread
 
 
 @pytest.fixture(scope="module")
@@ -118,14 +117,28 @@ def test_every_exploration_report_runs(spark, sf_dir):
     found = exploration.reports(prepared)
     assert len(found) == 34
     for name, report in found.items():
-        assert report.count() > 0, name
+        assert report().count() > 0, name
 
 
-def test_only_tables_with_few_partitions_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(10, numPartitions=cores + 1)
-    assert spread(wide) is wide
+def test_stored_table_does_not_depend_on_how_it_arrived(spark):
+    rows = spark.range(500).select("id", (F.hash("id") % 1000 / 1000).alias(training.SPLIT_POINT))
+    read = [training.stored(rows.repartition(n), 4).select("id").collect() for n in (2, 8)]
+    assert read[0] == read[1]
+
+
+def test_unreadable_numbers_and_dates_cost_their_rows(spark, sf_dir):
+    raw = loans(spark, sf_dir).drop("half_missing", "raw_amount")
+    text = raw.withColumns({"dti": F.col("dti").cast("string"), "issue_d": F.date_format("issue_d", "MM/dd/yyyy")})
+    spoilt = text.withColumns(
+        {
+            "dti": F.when(F.pmod(F.hash("id"), F.lit(7)) == 0, "x").otherwise(F.col("dti")),
+            "issue_d": F.when(F.pmod(F.hash("id"), F.lit(5)) == 0, "soon").otherwise(F.col("issue_d")),
+        }
+    )
+    whole = training.model_table(raw, ["id"])
+    left = training.model_table(spoilt, ["id"])
+    expected = training.model_table(raw.where("pmod(hash(id), 7) <> 0 AND pmod(hash(id), 5) <> 0"), ["id"]).count()
+    assert left.count() == expected < whole.count()
 
 
 def test_method_limit_is_put_back(spark):
@@ -148,9 +161,10 @@ def test_library_code_stays_distributed():
     }
     root = Path(riskbook.__file__).parent
     for path in root.rglob("*.py"):
+        if path.relative_to(root).parts[0] == "llm":  # has tests and rules of its own
+            continue
         text = path.read_text()
         fetches = re.findall(r"\.(?:collect|toPandas|toArrow|toLocalIterator)\(", text)
         assert len(fetches) == allowed.get(str(path.relative_to(root)), 0), path
-        text = text.replace(".rdd.getNumPartitions()", "")  # a count, no rows
         forbidden = ("localCheckpoint", "crossJoin", ".rdd", "udf(", "applyInPandas")
         assert not [w for w in forbidden if w in text], path
