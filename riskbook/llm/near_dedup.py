@@ -76,7 +76,8 @@ def hashed_sets(texts: Sequence[str | None], size: int) -> list[np.ndarray]:
     shingles = hashes.copy()
     for i in range(1, size):
         shingles = _mixed(shingles)
-        shingles[: len(hashes) - i] += hashes[i:]
+        left = max(0, len(hashes) - i)
+        shingles[:left] += hashes[i : i + left]
     shingles = _mixed(shingles)
     sets, at = [], 0
     for words in by_text:
@@ -252,7 +253,6 @@ def near_duplicates(rows: DataFrame, size: int, percent: int = LEAST_PERCENT) ->
         rows.select("row", "text").join(wanted, F.col("row") == F.col("node"), "left_semi"), "texts"
     )
     n_classes = classes.count()
-    links: DataFrame | None = None
     roots: DataFrame | None = None
     active = members
     for turn in range(HUB_ROUNDS + 1):
@@ -271,8 +271,13 @@ def near_duplicates(rows: DataFrame, size: int, percent: int = LEAST_PERCENT) ->
         likely = stored(_likely(pairs, classes, percent), "likely")
         found = stored(_verified(likely, texts, size, percent), "links")
         discard(likely)
-        links = found if links is None else links.union(found)
-        roots = components(links)
+        if found.isEmpty():
+            if last:
+                break
+            continue
+        # The stars so far stand for all links found before.
+        stars = None if roots is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        roots = components(found if stars is None else stars.union(found))
         if last:
             break
         labelled = members.join(roots, "node", "left").select(
