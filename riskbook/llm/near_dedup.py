@@ -1,16 +1,17 @@
 """Near-duplicate documents by SetSketch registers.
 
-A document is the set of its k-word shingles. Documents with equal sets form a class; one sketch of 128
+A document is the set of its k-word shingles. Documents with equal sets form a class; one sketch of 288
 registers per class is kept. A register is the least of one hash over the set, taken as an exponential
 variate and truncated to powers of ``BASE``: sketches of parts merge by the larger register, and two registers
-agree about as often as the sets overlap. Four registers make a band; classes that agree in one of 32 bands
-are candidates, which misses a pair of similarity 0.8 once in 20 million.
+agree about as often as the sets overlap. Six registers of ten bits make a band; classes that agree in one of
+48 bands are candidates, which misses a pair of similarity 0.8 once in three million.
 
 Large groups are not paired out. Every bucket names one hub, and only (hub, member) pairs are examined: first by
 the likelihood of the two sketches together, which drops pairs far below the limit, then by the full sets of
 words. What got linked is one component; only buckets that still hold several components go on, with other
-hubs, until their remaining pairs are no more than the rows of the bucket table, and all of those are examined. So every
-candidate pair is examined or lies within one component, and the components are exact.
+hubs, until their remaining pairs are no more than the rows of the bucket table or hubs find no more, and
+all of those pairs are examined. The first round takes a few bands only, which joins most of every large
+group before the others are looked at. So every candidate pair is examined or lies within one component, and the components are exact.
 
 Defined cases: texts without words, and NULL texts, are empty sets, linked with nothing; a text with fewer
 words than a shingle is one shingle; a NULL id takes part like any other, but names no component; repeated
@@ -31,14 +32,16 @@ from pyspark.sql import functions as F
 from riskbook.llm.common import discard, stored
 from riskbook.llm.components import components
 
-REGISTERS = 128
-ROWS = 4  # registers in a band
-BASE = 1.001
+ROWS = 6  # registers in a band
+BANDS = 48
+REGISTERS = ROWS * BANDS
+REGISTER_BITS = 10
+BASE = 1.026
 RATE = 20.0  # of the exponential variates
-MOST_REGISTER = 2**16 - 1
 LEAST_PERCENT = 80
-SKETCH_MARGIN = 0.25  # a pair estimated this far below the limit is dropped: seven deviations
-PAIRS_PER_CLASS = REGISTERS // ROWS  # when no more remain, as many as bands, all are examined
+SKETCH_MARGIN = 0.15  # a pair estimated this far below the limit is dropped: six deviations
+FIRST_BANDS = 4  # of the first round
+PAIRS_PER_CLASS = BANDS  # when no more remain, all are examined
 HUB_ROUNDS = 8
 
 _MULTIPLIERS = (
@@ -104,7 +107,20 @@ def registers(hashes: np.ndarray) -> np.ndarray:
         np.minimum(least, (block * np.uint32(0x2C1B3C6D)).min(axis=0), out=least)
     variates = -np.log1p(-(least + 0.5) / 2.0**32) / RATE
     values = np.floor(1 - np.log(variates) / np.log(BASE))
-    return np.clip(values, 0, MOST_REGISTER).astype(np.uint16)
+    return np.clip(values, 0, (1 << REGISTER_BITS) - 1).astype(np.int64)
+
+
+def packed(values: np.ndarray) -> np.ndarray:
+    """The bands of a sketch, each the registers of one band side by side."""
+    shifts = np.arange(ROWS, dtype=np.int64) * REGISTER_BITS
+    return (values.reshape(BANDS, ROWS) << shifts).sum(axis=1)
+
+
+def unpacked(bands: np.ndarray) -> np.ndarray:
+    """The registers of many sketches, from an array of their bands."""
+    shifts = np.arange(ROWS, dtype=np.int64) * REGISTER_BITS
+    values = (bands.reshape(-1, BANDS, 1) >> shifts) & ((1 << REGISTER_BITS) - 1)
+    return values.reshape(-1, REGISTERS)
 
 
 def estimated_similarity(left: np.ndarray, right: np.ndarray, left_size: np.ndarray, right_size: np.ndarray) -> np.ndarray:
@@ -142,8 +158,7 @@ def _sketches(rows: DataFrame, size: int) -> DataFrame:
                         bands.append(None)
                         continue
                     digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                    # Four 16-bit registers side by side are the 64-bit key of their band.
-                    bands.append(registers(hashes).view(np.int64))
+                    bands.append(packed(registers(hashes)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), pa.array(counts, pa.int64()),
@@ -169,9 +184,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (
-                batch.column(i).flatten().to_numpy().view(np.uint16).reshape(batch.num_rows, -1) for i in (3, 5)
-            )
+            left, right = (unpacked(batch.column(i).flatten().to_numpy()) for i in (3, 5))
             sizes = [batch.column(i).to_numpy().astype(float) for i in (2, 4)]
             good = np.concatenate(
                 [
@@ -187,7 +200,8 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the limit."""
     sides = texts.select("row", "text")
-    joined = pairs.join(sides.toDF("u", "u_text"), "u").join(sides.toDF("v", "v_text"), "v")
+    # The same plan at every size: texts are dealt out by row, never their pairs broadcast.
+    joined = pairs.join(sides.toDF("u", "u_text").hint("merge"), "u").join(sides.toDF("v", "v_text").hint("merge"), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: tuple[int | None, set] = (None, set())
@@ -222,6 +236,13 @@ def _bucket_pairs(members: DataFrame, turn: int) -> DataFrame:
     return joined.select(F.least("hub", "node").alias("u"), F.greatest("hub", "node").alias("v")).distinct()
 
 
+def _all_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of a bucket's members of different components."""
+    other = members.select(F.col("bucket").alias("b"), F.col("node").alias("w"), F.col("root").alias("w_root"))
+    both = members.join(other, (F.col("bucket") == F.col("b")) & (F.col("node") < F.col("w")))
+    return both.filter("root <> w_root").select(F.col("node").alias("u"), F.col("w").alias("v")).distinct()
+
+
 def near_duplicates(rows: DataFrame, size: int, percent: int = LEAST_PERCENT) -> DataFrame:
     """Per row of ``rows`` (row, id, text; ``row`` numbers the rows of a stored table): row, id, n_shingles,
     component_id (least id of the component), keeper (the row that stands for the component)."""
@@ -238,57 +259,57 @@ def near_duplicates(rows: DataFrame, size: int, percent: int = LEAST_PERCENT) ->
     )
     buckets = classes.select(
         "node", "copies", F.posexplode("bands").alias("band", "key")
-    ).select("node", "copies", F.xxhash64("band", "key").alias("bucket"))
+    ).select("node", "copies", "band", F.xxhash64("band", "key").alias("bucket"))
     # Only buckets with several classes are kept.
     shared = stored(
         buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("bucket").alias("b")),
         "shared",
     )
     members = stored(
-        buckets.join(shared, F.col("bucket") == F.col("b")).select("bucket", "node", "copies", F.col("node").alias("root")),
+        buckets.join(shared, F.col("bucket") == F.col("b")).select(
+            "bucket", "band", "node", "copies", F.col("node").alias("root")
+        ),
         "members",
     )
     wanted = members.select("node").distinct()
     texts = stored(
-        rows.select("row", "text").join(wanted, F.col("row") == F.col("node"), "left_semi"), "texts"
+        rows.select("row", "text").join(wanted.hint("merge"), F.col("row") == F.col("node"), "left_semi"), "texts"
     )
     n_classes = classes.count()
     roots: DataFrame | None = None
-    active = members
+    active = members.filter(F.col("band") < FIRST_BANDS)
+    idle = False
     for turn in range(HUB_ROUNDS + 1):
         # Pairs that remain if every bucket were paired out.
         sizes = active.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias("n"))
         remaining = sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0.0
-        last = turn > 0 and (remaining <= PAIRS_PER_CLASS * n_classes or turn == HUB_ROUNDS)
-        if not remaining:
+        if turn and not remaining:
             break
-        if last:
-            other = active.select(F.col("bucket").alias("b"), F.col("node").alias("w"), F.col("root").alias("w_root"))
-            both = active.join(other, (F.col("bucket") == F.col("b")) & (F.col("node") < F.col("w")))
-            pairs = both.filter("root <> w_root").select(F.col("node").alias("u"), F.col("w").alias("v")).distinct()
-        else:
-            pairs = _bucket_pairs(active, turn)
+        last = turn > 0 and (idle or remaining <= PAIRS_PER_CLASS * n_classes or turn == HUB_ROUNDS)
+        pairs = _all_pairs(active) if last else _bucket_pairs(active, turn)
         likely = stored(_likely(pairs, classes, percent), "likely")
         found = stored(_verified(likely, texts, size, percent), "links")
         discard(likely)
-        if found.isEmpty():
-            if last:
-                break
-            continue
-        # The stars so far stand for all links found before.
-        stars = None if roots is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
-        roots = components(found if stars is None else stars.union(found))
+        fruitless = found.isEmpty()
+        if not fruitless:
+            # The stars so far stand for all links found before.
+            stars = None if roots is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+            roots = components(found if stars is None else stars.union(found))
         if last:
             break
-        labelled = members.join(roots, "node", "left").select(
-            "bucket", "node", "copies", F.coalesce(roots["root"], F.col("node")).alias("root")
-        )
+        idle = fruitless and turn > 0
+        if fruitless and turn > 0:
+            continue
+        labelled = members
+        if roots is not None:
+            joined = members.join(roots.withColumnRenamed("root", "new_root"), "node", "left")
+            labelled = joined.select("bucket", "band", "node", "copies", F.coalesce("new_root", "node").alias("root"))
         labelled = stored(labelled, "labelled")
         open_ = stored(
             labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
             .filter("low <> high").select(F.col("bucket").alias("b")),
             "open",
-        )
+        )
         active = stored(labelled.join(open_, F.col("bucket") == F.col("b"), "left_semi"), "active")
         discard(labelled, open_)
     placed = classes.select("digest", "node", "first")

@@ -111,6 +111,13 @@ def test_estimate_is_near_the_similarity(n, share):
     assert abs(estimate - common / (2 * n - common)) < nd.SKETCH_MARGIN
 
 
+def test_bands_give_back_the_registers():
+    values = nd.registers(np.random.default_rng(9).integers(0, 2**63, 50, dtype=np.uint64))
+    assert np.array_equal(nd.unpacked(nd.packed(values))[0], values)
+    one = nd.registers(np.array([0, 2**63], np.uint64))
+    assert 0 <= one.min() and one.max() < 1 << nd.REGISTER_BITS
+
+
 def test_sketches_merge():
     hashes = np.random.default_rng(2).integers(0, 2**63, 300, dtype=np.uint64)
     whole = nd.registers(hashes)
