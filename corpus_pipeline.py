@@ -1,7 +1,8 @@
 """From raw documents to token files: rules, near duplicates, benchmark passages, mixing, tokens.
 
 Each stage takes (spark, docs, sf_dir) and gives the documents it keeps, with their columns; the last one
-gives what its token files hold. ``run`` writes each stage's result to the shared folder and reads it back
+gives what its token files hold. A stage begins by removing the intermediate tables of the stages before it,
+whose results are written by then. ``run`` writes each stage's result to the shared folder and reads it back
 for the next.
 """
 
@@ -11,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskbook.llm import decontaminate, mixing, near_dedup, quality_rules, token_files
-from riskbook.llm.common import read_table, stored
+from riskbook.llm.common import discard_all_but, read_table, stored
 from riskbook.llm.queries import END_ID, VOCABULARY
 
 SHINGLE_WORDS = 5
@@ -19,26 +20,31 @@ SHINGLE_WORDS = 5
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
+    discard_all_but(docs)
     return quality_rules.keep_quality(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    discard_all_but(docs)
     return near_dedup.keep_one(docs, size=SHINGLE_WORDS)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark items do not contaminate."""
+    discard_all_but(docs)
     return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the amounts that the weights of their sources ask for."""
+    discard_all_but(docs)
     return mixing.mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document of the token files: doc_id, start, n_tokens, ids_crc32."""
+    discard_all_but(docs)
     return token_files.tokenized(docs, public_tokenizers.path(VOCABULARY), END_ID)
 
 

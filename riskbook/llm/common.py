@@ -17,6 +17,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Folders of this session's intermediate tables that are still there.
+_FOLDERS: list[str] = []
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
@@ -36,14 +40,34 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     system.deleteOnExit(target)
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_at = path
+    _FOLDERS.append(path)
     return back
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    system, target = _hadoop_path(spark, path)
+    system.delete(target, True)
+    if path in _FOLDERS:
+        _FOLDERS.remove(path)
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove stored tables that nothing reads any more."""
     for table in tables:
-        system, target = _hadoop_path(table.sparkSession, table.stored_at)
-        system.delete(target, True)
+        _remove(table.sparkSession, table.stored_at)
+
+
+def discard_all_but(docs: DataFrame) -> None:
+    """Remove every intermediate table of the session that ``docs`` does not read.
+
+    For steps of a chain that start from the written result of the step before, when what that step needed
+    is done with. Results of other operators that are still to be computed would lose their tables.
+    """
+    read = docs.inputFiles() if _FOLDERS else []
+    names = {path: path.rsplit("/", 1)[-1] for path in _FOLDERS}
+    for path, name in names.items():
+        if not any(f"/{name}/" in file for file in read):
+            _remove(docs.sparkSession, path)
 
 
 def whole(text: str | Column) -> Column:

@@ -312,6 +312,7 @@ def near_duplicates(rows: DataFrame, size: int, percent: int = LEAST_PERCENT) ->
         )
         active = stored(labelled.join(open_, F.col("bucket") == F.col("b"), "left_semi"), "active")
         discard(labelled, open_)
+    discard(texts, shared, members)
     placed = classes.select("digest", "node", "first")
     if roots is None:
         named = placed.withColumn("root", F.col("node"))
@@ -324,6 +325,7 @@ def near_duplicates(rows: DataFrame, size: int, percent: int = LEAST_PERCENT) ->
     by_class = stored(
         named.join(least, F.col("root") == F.col("r")).select(F.col("digest").alias("class"), "least"), "by_class"
     )
+    discard(named, least, classes)
     full = sketches.filter("digest IS NOT NULL").join(by_class, F.col("digest") == F.col("class"))
     empty = sketches.filter("digest IS NULL")
     return full.select(

@@ -7,17 +7,18 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from riskbook.llm import quality_rules
+from riskbook.llm import common, quality_rules
 from riskbook.llm.common import read_table, stored
 from tests.llm.test_decontaminate import _expected as contaminated
 from tests.llm.test_near_dedup import _expected as grouped
 
 
-def test_stages_on_a_whole_table(spark, sf_dir):
+def test_stages_on_a_whole_table(spark, sf_dir, tmp_path):
     docs = read_table(spark, sf_dir, "documents")
     outputs = [docs]
     for name, stage in corpus_pipeline.STAGES:
-        outputs.append(stored(stage(spark, outputs[-1], sf_dir), name))
+        stage(spark, outputs[-1], sf_dir).write.parquet(str(tmp_path / name))
+        outputs.append(spark.read.parquet(str(tmp_path / name)))
     raw, good, single, clean, mixed = ({r.doc_id: r.text for r in o.collect()} for o in outputs[:5])
     assert all(o.columns == docs.columns for o in outputs[1:5])
     kept = {r.doc_id for r in quality_rules.quality_verdicts(docs).filter("kept").collect()}
@@ -39,7 +40,9 @@ def test_stages_on_a_whole_table(spark, sf_dir):
     for r in rows:
         assert r.start == start
         start += r.n_tokens
+    folders = len(common._FOLDERS)
     again = corpus_pipeline.run(spark, sf_dir)
+    assert len(common._FOLDERS) <= folders + 2  # the last stage's input and its files
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows))
 
 
