@@ -4,8 +4,9 @@ The page is read into a small tree of its elements. What a page says itself to b
 forms, scripts, adverts and so on, by element, role, class or id) is taken out. Every remaining element
 gets a density: its characters per tag, adjusted for how much of them are links. An element's sum is that
 of its children's densities; the largest sum marks the core of the article. The least density on the way
-from the core up to the body is the threshold: the chosen subtree is an article by name around the core, or
-else its container, with the neighbours around it if one of them reaches the threshold.
+from the core up to the body is the threshold: the chosen subtree is the lowest one that holds the core, the
+article by name around it and every element of the page that reaches the threshold, by this density or by
+plain characters per tag. Where the core is in a ``main``, only elements in a ``main`` count.
 
 Text: character references decoded, white space within a block as one space, blocks in page order, joined by
 a newline. Defined cases: NULL or empty html gives an empty text; unclosed elements end where an enclosing
@@ -161,8 +162,8 @@ def build_tree(page: str) -> Tree:
     return tree
 
 
-def densities(tree: Tree) -> tuple[list[float], list[float]]:
-    """Composite text density of every element, and the sum over its children."""
+def densities(tree: Tree) -> tuple[list[float], list[float], list[float]]:
+    """Composite text density of every element, the sum over its children, and unlinked characters per tag."""
     n = len(tree.tags)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for i in range(n - 1, -1, -1):
@@ -187,30 +188,40 @@ def densities(tree: Tree) -> tuple[list[float], list[float]]:
     sums = [0.0] * n
     for i in range(1, n):
         sums[tree.parents[i]] += density[i]
-    return density, sums
+    return density, sums, [(c - lc) / max(1, t) for c, t, lc in zip(chars, tags, link_chars)]
 
 
 def chosen(tree: Tree) -> int:
     """The element that holds the article."""
-    density, sums = densities(tree)
+    density, sums, plain = densities(tree)
     core = max(range(len(sums)), key=lambda i: (sums[i], -i))
     path = [core]
     while path[-1] > 0:
         path.append(tree.parents[path[-1]])
+    # Without links the composite density grows with an element's size, so a smaller part as dense as the
+    # path falls below it; the plain density does not.
+    threshold, plain_threshold = min(density[i] for i in path), min(plain[i] for i in path)
+    dense = [d > 0 and (d >= threshold or q >= plain_threshold > 0) for d, q in zip(density, plain)]
+    height = {element: k for k, element in enumerate(path)}
+    # The lowest element of the path above each element, and whether a main is on the way to it.
+    joins, in_main = [0] * len(sums), [False] * len(sums)
+    for i in range(len(sums)):
+        above = tree.parents[i]
+        joins[i] = height[i] if i in height else joins[above]
+        in_main[i] = tree.tags[i] == "main" or (above >= 0 and in_main[above])
+    # Whatever is as dense belongs to the same article, outside a main that holds the core only if in a main too.
+    start = next((k for k, i in enumerate(path) if tree.tags[i] not in INLINE and tree.tags[i] != "p"), len(path) - 1)
     for name in ("article", "main"):
-        named = [i for i in path if tree.tags[i] == name]
+        named = [k for k, i in enumerate(path) if tree.tags[i] == name]
         if named:
-            return named[-1]
-    threshold = min(density[i] for i in path)
-    best = next((i for i in path if tree.tags[i] not in INLINE and tree.tags[i] != "p"), 0)
-    # Neighbours of the core that are as dense belong to the same article.
-    parent = tree.parents[best]
-    if parent >= 0 and any(
-        density[j] >= threshold and density[j] > 0
-        for j in tree.items[parent] if isinstance(j, int) and j != best
-    ):
-        best = parent
-    return best
+            start = named[-1]
+            break
+    top = max(
+        (joins[i] for i in range(len(sums))
+         if i not in height and dense[i] and (in_main[i] or not in_main[core])),
+        default=start,
+    )
+    return path[max(start, top)]
 
 
 def blocks(tree: Tree, top: int) -> list[str]:

@@ -33,6 +33,33 @@ def test_density_finds_an_unnamed_article():
     assert h.main_text(page) == "\n".join([LONG.strip()] * 3)
 
 
+def _numbered(pattern, n, start=0):
+    texts = [f"Paragraph {i} of the text. {LONG * 4}".strip() for i in range(start, start + n)]
+    return "".join(pattern.format(t) for t in texts), texts
+
+
+def test_sections_nested_and_several_articles_are_kept_whole():
+    for outer in (
+        "<section><div>{}</div></section>", "<section><h2>Part</h2><div>{}</div></section>",
+        "<div><section>{}</section></div>", "<div><div><section>{}</section></div></div>", "<article>{}</article>",
+        "<article><h2>Part</h2><div>{}</div></article>",
+    ):
+        for around in ("{}", "<main>{}</main>", "<div><div>{}</div></div>"):
+            parts = [_numbered("<p>{}</p>", 8 - k, 10 * k) for k in range(3)]
+            page = _page(around.format("".join(outer.format(markup) for markup, _ in parts)))
+            heading = ["Part"] if "h2" in outer else []
+            expected = [text for _, texts in parts for text in heading + texts]
+            assert h.main_text(page) == "\n".join(expected), (outer, around)
+
+
+def test_dense_text_at_another_depth_is_kept_and_links_are_not():
+    (core, first), (far, last) = _numbered("<p>{}</p>", 8), _numbered("<p>{}</p>", 1, 50)
+    links = "<div><ul>" + "".join(f'<li><a href="/{i}">Link {i}</a></li>' for i in range(30)) + "</ul></div>"
+    page = _page(f"{links}<div><div><div>{core}</div></div><div><div><div>{far}</div></div></div></div>{links}")
+    assert h.main_text(page) == "\n".join(first + last)
+    assert h.main_text(_page(f"<main><article>{core}</article></main><div>{far}</div>")) == "\n".join(first)
+
+
 def test_unclosed_and_cut_pages():
     assert h.main_text("<article><p>One<p><b>Two<br>and<p>Three &am") == "One\nTwo and\nThree &am"
     assert h.main_text(f"<body><article><p>{LONG}<p>Last <a hre") == f"{LONG.strip()}\nLast"
