@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
 The page is read into a small tree of its elements. What a page says itself to be no article (menus,
-forms, scripts, adverts and so on, by element, role, class or id) is taken out. Every remaining element
+forms, scripts, adverts and so on, by element, role, class or id) is taken out; by class or id never what holds
+an article, a main or the densest core. Every remaining element
 gets a density: its characters per tag, adjusted for how much of them are links. An element's sum is that
 of its children's densities; the largest sum marks the core of the article. The least density on the way
 from the core up to the body is the threshold: the chosen subtree is the lowest one that holds the core, the
@@ -54,6 +55,10 @@ DROPPED_NAMES = frozenset(
     " notices notification pagination popup promo promoted related replies respond share sharing sidebar"
     " signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# Last parts of a class or id that name boilerplate only after a word that does (cookie-notice, site-header).
+AFTER_NAMES = frozenset("header notice notices notification share".split())
+BEFORE_THEM = DROPPED_NAMES | frozenset({"global", "privacy", "site", "top"})
+OTHERWISE = frozenset("free has hide hides hidden no non not with without".split())
 ARTICLES = frozenset({"article", "main"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -66,21 +71,32 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"
 _NAME = re.compile(r"[a-z0-9]+")
 
 
-def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
+def _names_boilerplate(token: str) -> bool:
+    """Whether a class or id as a whole, or its last part as the noun of the others, is in DROPPED_NAMES."""
+    *before, last = _NAME.findall(token.split("--")[0]) or [""]
+    if last not in DROPPED_NAMES or not OTHERWISE.isdisjoint(before):
+        return False
+    return not before or last not in AFTER_NAMES or not BEFORE_THEM.isdisjoint(before)
+
+
+def _judged(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is no part of an article for certain, and whether its class or id says so."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return True, False
+    named = False
     if not attributes or tag in ("body", "html"):
-        return False
+        return False, False
     for match in _ATTRIBUTE.finditer(attributes):
         name = match[1].lower()
         value = (match[2] or match[3] or match[4] or "").lower()
         if name == "role" and value in DROPPED_ROLES:
-            return True
+            return True, False
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name in ("class", "id") and tag not in ARTICLES and not DROPPED_NAMES.isdisjoint(_NAME.findall(value)):
-            return True
-    return False
+            return True, False
+        if name in ("class", "id") and tag not in ARTICLES and tag != "header":
+            tokens = [t for t in value.split() if _names_boilerplate(t)]
+            named = named or any(not in_article or _NAME.findall(t)[-1] != "header" for t in tokens)
+    return False, named
 
 
 class Tree:
@@ -90,18 +106,38 @@ class Tree:
         self.tags = ["body"]
         self.parents = [-1]
         self.items: list[list] = [[]]  # texts and the numbers of child elements, in order
+        self.named = [False]  # whether a class or id says that the element is no part of an article
 
-    def add(self, tag: str, parent: int) -> int:
+    def add(self, tag: str, parent: int, named: bool = False) -> int:
         number = len(self.tags)
         self.tags.append(tag)
         self.parents.append(parent)
         self.items.append([])
+        self.named.append(named)
         self.items[parent].append(number)
         return number
 
+    def without(self, dropped: set[int]) -> Tree:
+        """The same tree without some elements and all below them."""
+        tree = Tree()
+        tree.items[0] = list(self.items[0])
+        numbers = {0: 0}
+        for i in range(1, len(self.tags)):
+            if i not in dropped and self.parents[i] in numbers:
+                numbers[i] = len(tree.tags)
+                tree.tags.append(self.tags[i])
+                tree.parents.append(numbers[self.parents[i]])
+                tree.items.append(self.items[i])
+                tree.named.append(self.named[i])
+        tree.items = [
+            [item if isinstance(item, str) else numbers[item] for item in items if isinstance(item, str) or item in numbers]
+            for items in tree.items
+        ]
+        return tree
+
 
 def build_tree(page: str) -> Tree:
-    """The elements of a page, without those that are no part of an article."""
+    """The elements of a page, without those that are no part of an article for certain."""
     tree = Tree()
     open_: list[tuple[str, int]] = [("", 0)]  # number -1: within a dropped element
     position = 0
@@ -151,12 +187,13 @@ def build_tree(page: str) -> Tree:
             position = end.end() if end else len(page)
             continue
         inside = any(name in ARTICLES for name, _ in open_)
-        if parent < 0 or _dropped(tag, attributes, inside):
+        dropped, named = (True, False) if parent < 0 else _judged(tag, attributes, inside)
+        if dropped:
             number = -1
         elif tag in ("html", "body"):
             number = 0
         else:
-            number = tree.add(tag, parent)
+            number = tree.add(tag, parent, named)
         if tag not in VOID:
             open_.append((tag, number))
     return tree
@@ -191,6 +228,32 @@ def densities(tree: Tree) -> tuple[list[float], list[float], list[float]]:
     return density, sums, [(c - lc) / max(1, t) for c, t, lc in zip(chars, tags, link_chars)]
 
 
+def without_boilerplate(tree: Tree) -> Tree:
+    """The tree without the elements whose class or id names boilerplate.
+
+    What holds an article, a main or the densest core stays whatever its name. Where the page has an article
+    or main with text, the core is that of their elements. If nothing would be left, all stays.
+    """
+    if not any(tree.named):
+        return tree
+    sums = densities(tree)[1]
+    n = len(tree.tags)
+    inside = [False] * n
+    for i in range(n):
+        inside[i] = tree.tags[i] in ARTICLES or (i > 0 and inside[tree.parents[i]])
+    among = [i for i in range(n) if inside[i] and sums[i] > 0] or range(n)
+    held = [i for i in range(n) if tree.tags[i] in ARTICLES]
+    held.append(max(among, key=lambda i: (sums[i], -i)))
+    kept: set[int] = set()
+    for i in held:
+        while i >= 0 and i not in kept:
+            kept.add(i)
+            i = tree.parents[i]
+    dropped = {i for i in range(n) if tree.named[i] and i not in kept}
+    left = tree.without(dropped)
+    return left if any(isinstance(item, str) and item.strip() for items in left.items for item in items) else tree
+
+
 def chosen(tree: Tree) -> int:
     """The element that holds the article."""
     density, sums, plain = densities(tree)
@@ -251,7 +314,7 @@ def blocks(tree: Tree, top: int) -> list[str]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    tree = build_tree(page)
+    tree = without_boilerplate(build_tree(page))
     return "\n".join(blocks(tree, chosen(tree)))
 
 

@@ -60,6 +60,45 @@ def test_dense_text_at_another_depth_is_kept_and_links_are_not():
     assert h.main_text(_page(f"<main><article>{core}</article></main><div>{far}</div>")) == "\n".join(first)
 
 
+def test_names_of_wrappers_and_blocks_that_are_no_boilerplate():
+    markup, texts = _numbered("<p>{}</p>", 8)
+    for article in (markup, f"<article>{markup}</article>", f"<main>{markup}</main>"):
+        for mark in (
+            'class="layout has-sidebar"', 'class="no-sidebar"', 'class="with-menu"', 'class="ad-free"', 'class="x sidebar"',
+            'id="page-with-comments"', 'id="sidebar"', 'class="layout--sidebar"', 'class="page-widget"', 'class="no_ads"',
+        ):
+            assert h.main_text(_page(f"<div {mark}>{article}</div>")) == "\n".join(texts), mark
+    for name in ("share-price", "legal-notice", "market-share", "section-header", "header-image", "menu-card", "ad-free"):
+        block = f'<div class="{name}">Block. {LONG * 4}</div>'
+        assert h.main_text(_page(f"<article>{markup}{block}</article>")) == "\n".join([*texts, f"Block. {LONG * 4}".strip()]), name
+    widgets = "".join(f'<div class="page-widget">{LONG}</div>' for _ in range(4))
+    assert h.main_text(_page(widgets)) == "\n".join([LONG.strip()] * 4)
+
+
+def test_headers_inside_articles_keep_their_headings_whatever_their_class():
+    markup, texts = _numbered("<p>{}</p>", 8)
+    for opening, closing in (
+        ('<header class="entry-header">', "</header>"), ('<header class="header">', "</header>"), ('<header id="site-header">', "</header>"),
+        ('<div class="article-header">', "</div>"), ('<div class="header">', "</div>"), ('<div class="entry_header">', "</div>"),
+    ):
+        page = _page(f"<article>{opening}<h1>The title</h1>{closing}{markup}</article>")
+        assert h.main_text(page) == "\n".join(["The title", *texts]), opening
+    page = _page(f'<div><div class="article-header"><h1>The title</h1></div>{markup}</div>')
+    assert h.main_text(page) == "\n".join(["The title", *texts])
+
+
+def test_boilerplate_by_name_still_goes():
+    markup, texts = _numbered("<p>{}</p>", 8)
+    for name in ("sidebar", "page-sidebar", "cookie-notice", "site-header", "top_ad", "post-share related", "main-menu", "sidebar--left", "comments"):
+        for around in ("<article>{}</article>{}", "<article>{}{}</article>", "<div>{}{}</div>"):
+            if name == "site-header" and around.endswith("{}</article>"):
+                continue  # headers inside articles stay
+            page = _page(around.format(markup, f'<div class="x {name}"><p>{LONG * 4}</p></div>'))
+            assert h.main_text(page) == "\n".join(texts), name
+    reply = f'<div id="comments">{markup * 3}</div>'
+    assert h.main_text(_page(f"<article>{markup}</article>{reply}")) == "\n".join(texts)
+
+
 def test_unclosed_and_cut_pages():
     assert h.main_text("<article><p>One<p><b>Two<br>and<p>Three &am") == "One\nTwo and\nThree &am"
     assert h.main_text(f"<body><article><p>{LONG}<p>Last <a hre") == f"{LONG.strip()}\nLast"
