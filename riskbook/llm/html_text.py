@@ -67,7 +67,8 @@ _TAG = re.compile(
     r"|</?([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?=[\s/]|\Z))", re.I)
+# One attribute after the other, each with its value, so that nothing inside a name or value counts.
+_ATTRIBUTE = re.compile(r"([^\s/=>\"'][^\s/=>]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?|\"[^\"]*\"|'[^']*'")
 _NAME = re.compile(r"[a-z0-9]+")
 
 
@@ -87,7 +88,7 @@ def _judged(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     if not attributes or tag in ("body", "html"):
         return False, False
     for match in _ATTRIBUTE.finditer(attributes):
-        name = match[1].lower()
+        name = (match[1] or "").lower()
         value = (match[2] or match[3] or match[4] or "").lower()
         if name == "role" and value in DROPPED_ROLES:
             return True, False

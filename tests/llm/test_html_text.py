@@ -99,6 +99,20 @@ def test_boilerplate_by_name_still_goes():
     assert h.main_text(_page(f"<article>{markup}</article>{reply}")) == "\n".join(texts)
 
 
+def test_only_exact_attributes_count():
+    for attributes in (
+        'title="the hidden cost"', "data-title='A hidden valley'", 'data-hidden="false"', 'data-id="share-3"', 'data-id=sidebar',
+        'data-role="navigation"', "title='class=\"ad\"'", 'title = "x" data-x = \'id="ad"\'', 'aria-hidden="false"', 'title=a/hidden',
+        'xclass="ad"', '"hidden"',
+    ):
+        assert h.main_text(f"<article><p>One</p><div {attributes}>Two</div></article>") == "One\nTwo", attributes
+    for attributes in (
+        "hidden", 'x="1"hidden', "hidden=''", "HIDDEN", "a=1 hidden", "aria-hidden = 'true'", 'title="a" role=navigation', "disabled class=ad",
+        "x/hidden", 'title="" class = "x ad"',
+    ):
+        assert h.main_text(f"<article><p>One</p><div {attributes}>Two</div></article>") == "One", attributes
+
+
 def test_unclosed_and_cut_pages():
     assert h.main_text("<article><p>One<p><b>Two<br>and<p>Three &am") == "One\nTwo and\nThree &am"
     assert h.main_text(f"<body><article><p>{LONG}<p>Last <a hre") == f"{LONG.strip()}\nLast"
