@@ -4,7 +4,8 @@
 compares it with the one before: what was appended is the turn's span. Where the earlier output does not
 stand at the front of the later one, the template rewrites history; the turn is reported and has no span,
 nor have the turns before it. The place of an assistant's text inside its span is found by rendering the
-prefix with two probe texts in its stead: they first differ where the text begins.
+prefix with two probe texts in its stead: they first differ where the text begins. All prefixes are rendered
+whole, unless the template is declared append-only; only then long conversations are rendered by segments.
 
 The template of this module marks turns by control strings and puts one backslash before every control
 string inside a text (before its backslashes, if it has some), so that texts are read back unchanged.
@@ -96,39 +97,53 @@ def _text_place(turns: Sequence[Turn], template: Render) -> tuple[int, int]:
     return begin, len(first) - begin - len(PROBES[0])
 
 
+def _piece(turns: Sequence[Turn], template: Render, role: str, before: str, output: str):
+    """What the last turn appends to the rendering of those before it, as (piece, place of its text within the
+    piece or None); None if it changes what stood before."""
+    if not output.startswith(before):
+        return None
+    place = None
+    if turns[-1][0] == role:
+        begin, tail = _text_place(turns, template)
+        if len(before) <= begin <= len(output) - tail:
+            place = (begin - len(before), len(output) - tail - len(before))
+    return output[len(before) :], place
+
+
 def _pieces(turns: Sequence[Turn], template: Render, role: str, low: int, start: int, end: int):
-    """What each of turns[start:end] appends to the rendering of turns[low:], as (piece, place of its text
-    within the piece or None); None if one of them changes what stood before."""
+    """What each of turns[start:end] appends to the rendering of turns[low:]; None if one of them changes what
+    stood before."""
     before = template(turns[low:start])
     found = []
     for i in range(start, end):
         output = template(turns[low : i + 1])
-        if not output.startswith(before):
+        piece = _piece(turns[low : i + 1], template, role, before, output)
+        if piece is None:
             return None
-        place = None
-        if turns[i][0] == role:
-            begin, tail = _text_place(turns[low : i + 1], template)
-            if len(before) <= begin <= len(output) - tail:
-                place = (begin - len(before), len(output) - tail - len(before))
-        found.append((output[len(before) :], place))
+        found.append(piece)
         before = output
     return found
 
 
-def locate(turns: Sequence[Turn], template: Render, role: str = "assistant") -> dict:
+def locate(
+    turns: Sequence[Turn], template: Render, role: str = "assistant", append_only: bool = False
+) -> dict:
     """Render the prefixes of a conversation.
 
     Gives ``formatted``; ``starts`` and ``ends`` of the turns' spans (None where unknown); ``rewrites``,
     the turns at which the template changed earlier output; ``loss``, the (start, end) of the texts of
     ``role`` in ``formatted``.
 
-    Rendering every prefix whole takes time with the square of the turns, so the turns are cut into about
-    sqrt(turns) segments. Whole prefixes are rendered at the ends of segments; within one, prefixes start a
-    few turns before the segment, and what they give must add up to what the whole prefixes differ
-    by. If it does not, or something is rewritten, the segment is done again with whole prefixes.
+    Every prefix is rendered whole and compared with the one before, which takes time with the square of the
+    turns. Only where the caller declares that the template is ``append_only``, that is that no turn changes
+    what stands before it, the turns are cut into about sqrt(turns) segments: whole prefixes are rendered at
+    the ends of segments; within one, prefixes start a few turns before the segment, and what they give must
+    add up to what the whole prefixes differ by. If it does not, the segment is done again with whole
+    prefixes. A rewrite that is undone within a segment would not be seen, so other templates must not be
+    declared so.
     """
     n = len(turns)
-    step = max(LEAST_SEGMENT, math.isqrt(n))
+    step = max(LEAST_SEGMENT, math.isqrt(n)) if append_only else max(1, n)
     starts: list[int | None] = []
     ends: list[int | None] = []
     loss: list[tuple[int, int]] = []
@@ -145,20 +160,22 @@ def locate(turns: Sequence[Turn], template: Render, role: str = "assistant") ->
 
     for start in range(0, n, step):
         end = min(n, start + step)
-        longer = template(turns[:end])
-        pieces = _pieces(turns, template, role, max(0, start - CONTEXT_TURNS), start, end)
-        if pieces is not None and whole + "".join(p for p, _ in pieces) == longer:
-            append(pieces, len(whole))
-        else:
-            for i in range(start, end):
-                output = template(turns[: i + 1])
-                pieces = _pieces(turns, template, role, 0, i, i + 1)
-                if pieces is None:
-                    rewrites.append(i)
-                    starts[:], ends[:], loss[:] = [None] * (i + 1), [None] * (i + 1), []
-                else:
-                    append(pieces, len(output) - len(pieces[0][0]))
-        whole = longer
+        if append_only:
+            longer = template(turns[:end])
+            pieces = _pieces(turns, template, role, max(0, start - CONTEXT_TURNS), start, end)
+            if pieces is not None and whole + "".join(p for p, _ in pieces) == longer:
+                append(pieces, len(whole))
+                whole = longer
+                continue
+        for i in range(start, end):
+            longer = template(turns[: i + 1])
+            piece = _piece(turns[: i + 1], template, role, whole, longer)
+            if piece is None:
+                rewrites.append(i)
+                starts[:], ends[:], loss[:] = [None] * (i + 1), [None] * (i + 1), []
+            else:
+                append([piece], len(whole))
+            whole = longer
     return {"formatted": whole, "starts": starts, "ends": ends, "rewrites": rewrites, "loss": loss}
 
 
@@ -183,8 +200,13 @@ def format_chats(
     role: str = "role",
     text: str = "text",
     learn: str = "assistant",
+    append_only: bool = False,
 ) -> DataFrame:
-    """One row per conversation: its id, the formatted text, turn spans, history rewrites, loss ranges."""
+    """One row per conversation: its id, the formatted text, turn spans, history rewrites, loss ranges.
+
+    ``append_only`` declares that no turn changes what the template wrote before it, as with this module's
+    own template; see :func:`locate`.
+    """
     alone = F.when(F.col(conv_id).isNull(), F.monotonically_increasing_id())
     turns = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     grouped = (
@@ -199,7 +221,7 @@ def format_chats(
             found = []
             for one in batch.column(1):
                 turns = [(t["role"].as_py(), t["text"].as_py()) for t in one]
-                found.append(locate(turns, template, learn))
+                found.append(locate(turns, template, learn, append_only))
             columns = [
                 [f["formatted"] for f in found],
                 [f["starts"] for f in found],

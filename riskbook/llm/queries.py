@@ -62,7 +62,7 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame(
         [(-1, 0, "user", awkward), (-1, 1, "assistant", awkward)], rows.schema
     )
-    return chat_format.read_back(chat_format.format_chats(rows.unionByName(extra)))
+    return chat_format.read_back(chat_format.format_chats(rows.unionByName(extra), append_only=True))
 
 
 @query

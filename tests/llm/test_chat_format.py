@@ -44,6 +44,29 @@ def test_rewritten_history_is_reported():
     assert found["rewrites"] == [2] and found["loss"] == [] and found["starts"] == [None] * 3
 
 
+def test_rewrite_undone_a_turn_later_is_reported():
+    def reminds(turns):
+        parts = [f"{role}:{text};" for role, text in turns]
+        if turns and turns[-1][0] == "tool":
+            parts.insert(len(parts) - 1, "".join(f"<{text}>" for role, text in turns if role == "system"))
+        return "".join(parts)
+
+    roles = ["system", *["user", "assistant"] * 8][:16]
+    roles[10] = "tool"
+    turns = [(role, f"t{i}") for i, role in enumerate(roles)]
+    found = c.locate(turns, reminds)
+    whole = [reminds(turns[:i]) for i in range(17)]
+    assert found["formatted"] == whole[16]
+    assert found["rewrites"] == [i for i in range(16) if not whole[i + 1].startswith(whole[i])] == [11]
+    assert found["starts"][:12] == [None] * 12 and found["ends"][15] == len(whole[16])
+
+
+@settings(max_examples=100, deadline=None)
+@given(TURNS)
+def test_declared_template_gives_the_same_by_segments(turns):
+    assert c.locate(turns, c.render, append_only=True) == c.locate(turns, c.render)
+
+
 def _sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
