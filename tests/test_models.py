@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 import riskbook
+from riskbook.catalog import QUERIES, model_queries
 from riskbook.catalog.loans import loans
 from riskbook.operators import features as X
 from riskbook.operators import models, tuning
@@ -141,6 +142,24 @@ def test_unreadable_numbers_and_dates_cost_their_rows(spark, sf_dir):
     assert left.count() == expected < whole.count()
 
 
+def test_grids_are_registered_in_full(spark, sf_dir, monkeypatch):
+    searched = {}
+
+    def record(train, model, grid, measure="areaUnderROC", folds=tuning.FOLDS, key=None, **options):
+        searched[type(model).__name__] = (tuning.grid_size(grid), folds, measure)
+        return tuning.Search(train, None, None)
+
+    monkeypatch.setattr(tuning, "cross_validate", record)
+    monkeypatch.setattr(model_queries, "table", lambda df: df.withColumn(training.SPLIT_POINT, F.lit(0)))
+    for name in ("cv_table", "cv_table_bayes", "cv_table_forest", "cv_table_boosted", "cv_table_svm"):
+        QUERIES[name](spark, sf_dir)
+    assert searched == {
+        "LogisticRegression": (27, 10, "areaUnderROC"), "NaiveBayes": (3, 10, "accuracy"),
+        "RandomForestClassifier": (32, 10, "areaUnderROC"), "GBTClassifier": (27, 10, "accuracy"),
+        "LinearSVC": (9, 10, "areaUnderROC"),
+    }
+
+
 def test_method_limit_is_put_back(spark):
     key = "spark.sql.codegen.hugeMethodLimit"
     spark.conf.set(key, "1234")
