@@ -6,11 +6,11 @@ addresses written out, runs of seven or more digits with any separators, address
 account numbers. Boosted trees score every proposal from its format and its surroundings, and those above
 the threshold of their generator are added, the best of overlapping ones.
 
-The trees learn from the corpus itself: positives are base spans of up to ``MOST_TRAINING`` documents, as they are
+The trees learn from the corpus itself, from about ``MOST_TRAINING`` documents at most: positives are base spans, as they are
 and rewritten into the looser formats; negatives are proposals that break the rules of every format
 (failing check digits, octets over 255, dates, versions), and the positives with a digit or a separator
-spoilt. A quarter of these is held out, and the threshold of a generator is the least score that is right on at
-least ``LEAST_PRECISION`` of what it selects there; a generator that never gets there adds nothing.
+spoilt. A quarter of all documents is held out, and the threshold of a generator is the least score that is right on
+at least ``LEAST_PRECISION`` of what it selects in them all; a generator that never gets there adds nothing. Documents are chosen by the hash of their id and text.
 
 Everything is DataFrame functions and the trees of the DataFrame-based machine learning library. Positions are
 code points, ends exclusive. Where a pattern could try a long run again from each of its characters, it
@@ -125,7 +125,7 @@ def _rule(kind: str):
 
 
 def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Per row: its number and id, the valid base spans of each kind, and the generators' proposals."""
+    """Per row: its number, the hash of its id and text, its id, the valid base spans of each kind, and the generators' proposals."""
     body = F.col("body")
     patterns = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE)))
     needs = {"email": "@", "phone": "+"}
@@ -136,7 +136,9 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         columns.append(F.filter(spans, _rule(kind)).alias(kind))
     proposals = F.concat(*[_spans(body, kind, pattern, body.rlike(need)) for kind, pattern, need in GENERATORS])
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), whole(text).alias("body"))
-    return stored(rows.select("row", "id", *columns, proposals.alias("proposed")), "pii")
+    # The choices of training and held-out documents go by this key, so that they are the same for any partitioning.
+    key = F.xxhash64("id", "body").alias("key")
+    return stored(rows.select("row", key, "id", *columns, proposals.alias("proposed")), "pii")
 
 
 FEATURES = (
@@ -239,26 +241,36 @@ def _rewritten(base: DataFrame) -> DataFrame:
             *[F.struct(F.lit(g).alias("kind"), F.lit(float(label)).alias("label"), value.alias("value")) for g, label, value in examples]
         )
         parts.append(F.when(F.col("base_kind") == kind, choices))
-    return base.select("row", "before", "after", F.explode(F.coalesce(*parts)).alias("example")).select(
-        "row", "example.kind", "example.label", "example.value", "before", "after"
+    return base.select("key", "before", "after", F.explode(F.coalesce(*parts)).alias("example")).select(
+        "key", "example.kind", "example.label", "example.value", "before", "after"
     )
 
 
-def _training(found: DataFrame) -> DataFrame:
-    """Labelled candidates of a bounded number of documents: (row, kind, label, value, before, after)."""
+def _held_out() -> Column:
+    return F.pmod(F.xxhash64("key", F.lit(5)), F.lit(4)) == 0
+
+
+def _training(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Labelled candidates (key, kind, label, value, before, after): to learn from, of a bounded number of
+    documents, and of all documents that are held out."""
     busy = found.filter(F.size("proposed") + sum(F.size(k) for k in KINDS) > 0)
     n = busy.count()
     share = int(1_000_000 * min(1.0, MOST_TRAINING / max(1, n)))
-    sample = busy.filter(F.pmod(F.xxhash64("row", F.lit(11)), F.lit(1_000_000)) < share).limit(2 * MOST_TRAINING)
-    sample = stored(sample, "pii-sample")
-    base = sample.select("row", F.explode(F.concat(*KINDS)).alias("s")).select(
-        "row", F.col("s.kind").alias("base_kind"), "s.value", "s.before", "s.after"
+    sample = busy.filter(~_held_out() & (F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1_000_000)) < share))
+    sample = stored(sample.orderBy("key").limit(2 * MOST_TRAINING), "pii-sample")
+    return _labelled(sample), _labelled(busy.filter(_held_out()))
+
+
+def _labelled(sample: DataFrame) -> DataFrame:
+    """The labelled candidates of some documents."""
+    base = sample.select("key", F.explode(F.concat(*KINDS)).alias("s")).select(
+        "key", F.col("s.kind").alias("base_kind"), "s.value", "s.before", "s.after"
     )
     # Proposals that break the rules of every format.
     broken = (
-        sample.select("row", F.concat(*KINDS).alias("base"), F.explode("proposed").alias("s"))
+        sample.select("key", F.concat(*KINDS).alias("base"), F.explode("proposed").alias("s"))
         .filter(~F.exists("base", lambda b: _overlaps(b, F.col("s"))))
-        .select("row", "s.kind", F.lit(0.0).alias("label"), "s.value", "s.before", "s.after")
+        .select("key", "s.kind", F.lit(0.0).alias("label"), "s.value", "s.before", "s.after")
     )
     digits = digits_of(F.col("value"))
     separated = F.col("value").rlike(r"[0-9][\x20()./-]+[0-9]")
@@ -294,15 +306,14 @@ def _thresholds(scored: DataFrame) -> dict[str, float]:
 
 def _added(found: DataFrame) -> DataFrame | None:
     """Per row the proposals that the trees accept, without overlaps: (row, added)."""
-    examples = stored(_featured(_training(found)).repartition(8, "row", "value"), "pii-examples")
-    held_out = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(4)) == 0
-    learn = examples.filter(~held_out)
+    learning, held_out = _training(found)
+    ordered = learning.repartition(8, "key", "value").sortWithinPartitions("key", "kind", "value", "label", "before", "after")
+    learn = stored(_featured(ordered), "pii-examples")
     if learn.select("label").distinct().count() < 2:
         return None
     trees = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=17)
     model = trees.fit(learn.select("label", "features"))
-    checked = model.transform(examples.filter(held_out)).withColumn("score", vector_to_array("probability")[1])
-    limits = _thresholds(checked)
+    limits = _thresholds(_scores(model, held_out))
     if not limits:
         return None
     free = (

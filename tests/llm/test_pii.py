@@ -83,3 +83,25 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert pii.digested(pii.personal_data(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+def _contacts(spark, n=400):
+    rows = [(i, f"write to user{i}@example.com or call +1 (415) 555-{i:04d} now, version 1.{i}.22.{i}00, no 20{i:05d}") for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_choices_do_not_depend_on_partitions_and_thresholds_see_all_held_out(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MOST_TRAINING", 40)
+    scored, thresholds = [], pii._thresholds
+
+    def record(checked):
+        scored.append(sorted((r.value, r.score) for r in checked.select("value", "score").collect()))
+        return thresholds(checked)
+
+    monkeypatch.setattr(pii, "_thresholds", record)
+    spans = []
+    for docs in (_contacts(spark).coalesce(1), _contacts(spark).repartition(7)):
+        spans.append(sorted((r.doc_id, str(r.spans)) for r in pii.personal_data(docs).select("doc_id", "spans").collect()))
+    assert scored[0] == scored[1] and spans[0] == spans[1]
+    users = {m[0] for value, _ in scored[0] for m in [re.findall(r"user[0-9]+", value)] if m}
+    assert 70 < len(users) < 130  # about a quarter of 400 documents, not of the 40 learnt from
