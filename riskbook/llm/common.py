@@ -21,6 +21,37 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _FOLDERS: list[str] = []
 
 
+class Scope:
+    """The folders that :func:`stored` writes within ``with scope:``, after those of an earlier scope."""
+
+    _open: list[Scope] = []
+
+    def __init__(self, before: Scope | None = None) -> None:
+        self.name = uuid.uuid4().hex
+        self.before = before
+        self.folders: list[str] = []
+
+    def __enter__(self) -> Scope:
+        Scope._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scope._open.pop()
+
+    def discard_all_but(self, docs: DataFrame) -> None:
+        """Remove the tables of this scope and those before it that ``docs`` does not read."""
+        read = docs.inputFiles() if self.folders or self.before else []
+        scope: Scope | None = self
+        while scope is not None:
+            for path in list(scope.folders):
+                name = path.rsplit("/", 1)[-1]
+                if not any(f"/{name}/" in file for file in read):
+                    scope.folders.remove(path)
+                    if path in _FOLDERS:
+                        _remove(docs.sparkSession, path)
+            scope = scope.before
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
@@ -41,6 +72,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_at = path
     _FOLDERS.append(path)
+    if Scope._open:
+        Scope._open[-1].folders.append(path)
     return back
 
 
@@ -57,19 +90,6 @@ def discard(*tables: DataFrame) -> None:
         _remove(table.sparkSession, table.stored_at)
 
 
-def discard_all_but(docs: DataFrame) -> None:
-    """Remove every intermediate table of the session that ``docs`` does not read.
-
-    For steps of a chain that start from the written result of the step before, when what that step needed
-    is done with. Results of other operators that are still to be computed would lose their tables.
-    """
-    read = docs.inputFiles() if _FOLDERS else []
-    names = {path: path.rsplit("/", 1)[-1] for path in _FOLDERS}
-    for path, name in names.items():
-        if not any(f"/{name}/" in file for file in read):
-            _remove(docs.sparkSession, path)
-
-
 def whole(text: str | Column) -> Column:
     """A text column in which NULL is the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -57,3 +57,19 @@ def test_odd_rows_pass_through_every_stage(spark, tmp_path):
             docs = stored(stage(spark, docs, str(tmp_path)), name)
             assert docs.columns == table.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_a_stage_leaves_tables_of_others(spark, sf_dir, tmp_path):
+    docs = read_table(spark, sf_dir, "documents").limit(50)
+    other = stored(docs, "other")
+
+    def keeps(spark, docs, sf_dir):
+        return stored(docs, "kept")
+
+    stage = getattr(corpus_pipeline, "staged", lambda f: f)(keeps)
+    built = stage(spark, docs, sf_dir)
+    stage(spark, docs, sf_dir).write.parquet(str(tmp_path / "a"))
+    folders = set(common._FOLDERS)
+    result = corpus_pipeline.quality(spark, spark.read.parquet(str(tmp_path / "a")), sf_dir)
+    assert len(folders - set(common._FOLDERS)) == 1  # that of the stage it follows
+    assert other.count() == built.count() == 50 and result.count() <= 50
