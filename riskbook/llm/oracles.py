@@ -206,3 +206,111 @@ FROM shared LEFT JOIN verdicts USING (r)
 
 
 QUALITY = _quality()
+
+EXACT = """
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g') AS norm
+  FROM documents),
+placed AS (
+  SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
+    first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id NULLS LAST) AS keep_id
+  FROM d)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM placed
+"""
+
+# zlib's crc32 of a list of bytes: one step for each bit, a byte being added before its first bit.
+_CRC = (
+    "xor(list_reduce(flatten(list_transform({bytes}, lambda b: [b, 0, 0, 0, 0, 0, 0, 0])),"
+    " lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1)), 4294967295::BIGINT), 4294967295)"
+)
+CRC_OF_DIGITS = _CRC.format(bytes="list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)")
+_BYTES = (
+    "list_transform(range(0, octet_length(encode({text}))), lambda i: "
+    "CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))"
+)
+
+_MERKLE_LEVELS = 8  # 16 ** 8 leaves and sources
+
+
+def _merkle_value(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_merkle_value(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _merkle_tree(name: str, nodes: str, leaves: str) -> str:
+    """CTEs from ``nodes`` (tree, i, digest) and ``leaves`` (key, tree, i, proof, fold) to {name}_root (tree, digest) and
+    {name}_path (key, tree, proof, fold)."""
+    parts = [f"{name}_n0 AS (SELECT tree, i, digest FROM {nodes})", f"{name}_p0 AS (SELECT key, tree, i, proof, fold FROM {leaves})"]
+    for level in range(_MERKLE_LEVELS):
+        parts.append(f"""{name}_r{level} AS (
+  SELECT tree, i // 16 AS i, list(digest ORDER BY i) AS run, any_value(total) AS total
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS total FROM {name}_n{level}) GROUP BY tree, i // 16)""")
+        parts.append(f"""{name}_n{level + 1} AS (
+  SELECT tree, i, CASE WHEN total = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS digest FROM {name}_r{level})""")
+        parts.append(f"""{name}_p{level + 1} AS (
+  SELECT p.key, p.tree, r.i,
+    CASE WHEN total = 1 THEN proof ELSE proof || array_to_string(run[:p.i % 16] || run[p.i % 16 + 2:], '') END AS proof,
+    CASE WHEN total = 1 THEN fold
+      ELSE sha256(array_to_string(run[:p.i % 16] || [fold] || run[p.i % 16 + 2:], '')) END AS fold
+  FROM {name}_p{level} p JOIN {name}_r{level} r ON r.tree IS NOT DISTINCT FROM p.tree AND r.i = p.i // 16)""")
+    parts.append(f"{name}_root AS (SELECT tree, digest FROM {name}_n{_MERKLE_LEVELS})")
+    parts.append(f"{name}_path AS (SELECT key, tree, proof, fold FROM {name}_p{_MERKLE_LEVELS})")
+    return ",\n".join(parts)
+
+
+MERKLE = f"""
+WITH leaves AS (
+  SELECT row_number() OVER () AS key, doc_id, source AS tree, {_merkle_leaf("text")} AS digest,
+    CASE WHEN {CRC_OF_DIGITS} % 5 = 0 THEN {_merkle_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS other
+  FROM documents),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS i, '' AS proof,
+    coalesce(other, digest) AS fold FROM leaves),
+{_merkle_tree("s", "numbered", "numbered")},
+tops AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS i, digest, tree AS source FROM s_root),
+top_leaves AS (
+  SELECT key, '' AS tree, i, proof, fold FROM s_path JOIN tops ON tops.source IS NOT DISTINCT FROM s_path.tree),
+{_merkle_tree("t", "tops", "top_leaves")}
+SELECT doc_id, n.digest AS leaf, s.digest AS subroot, r.digest AS root, sha256(p.proof) AS proof_sha256,
+  p.fold AS folded_root, p.fold = r.digest AS verified
+FROM numbered n JOIN t_path p USING (key) JOIN s_root s ON s.tree IS NOT DISTINCT FROM n.tree CROSS JOIN t_root r
+"""
+
+SPELLING = f"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, translate(r, '{UPPER}', '{LOWER}') AS r, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{7,}}')) AS r FROM documents)
+  GROUP BY 1, 2),
+keyed AS (SELECT r, times, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r AS k FROM found),
+hashed AS (SELECT r, times, {_CRC.format(bytes=_BYTES.format(text="k"))} AS h FROM keyed),
+written AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(r, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, times
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM written WHERE length(word) >= 7
+  GROUP BY word HAVING sum(times) >= 2),
+cut AS (
+  SELECT word, n, left(word, p) || '$' || substr(word, p + 2) AS hole, left(word, p) || substr(word, p + 2) AS rest
+  FROM words, LATERAL (SELECT unnest(range(0, length(word))) AS p)),
+shorter AS (SELECT DISTINCT c.word AS a, w.word AS b FROM cut c JOIN words w ON w.word = c.rest),
+pairs AS (
+  SELECT x.word AS a, y.word AS b FROM cut x JOIN cut y ON x.hole = y.hole AND x.word <> y.word
+  UNION ALL SELECT a, b FROM shorter UNION ALL SELECT b, a FROM shorter),
+best AS (
+  SELECT a, count(*) OVER (PARTITION BY a) AS n_near, b, n AS b_n
+  FROM pairs JOIN words ON words.word = pairs.b
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY n DESC, b) = 1),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 10 * n THEN b END AS form,
+    CASE WHEN b_n >= 10 * n THEN b_n END AS form_n
+  FROM words LEFT JOIN best ON best.a = words.word),
+chain AS (
+  SELECT word, word AS reached FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.reached WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.reached FROM chain c JOIN formed f ON f.word = c.reached WHERE f.form IS NULL)
+SELECT word, form, reached AS root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""

@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from riskbook.llm import (
     chat_format,
     decontaminate,
+    exact_dedup,
     html_text,
+    merkle,
     mixing,
     near_dedup,
     oracles,
     pii,
     quality_classifier,
     quality_rules,
+    spelling,
     token_files,
     url_filters,
 )
@@ -101,3 +104,25 @@ ORACLES |= {
 @query
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digested(pii.personal_data(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.document_variants(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents"), ("doc_id", "source", "lang", "n_chars", "text"))
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES |= {
+    "op11_spelling_variants": oracles.SPELLING,
+    "op12_merkle_manifest": oracles.MERKLE,
+    "op13_exact_dedup": oracles.EXACT,
+}
