@@ -1,8 +1,9 @@
 """Main text of web pages by composite text density.
 
 The page is read into a small tree of its elements. What a page says itself to be no article (menus,
-forms, scripts, adverts and so on, by element, role, class or id) is taken out; by class or id never what holds
-an article, a main or the densest core. Every remaining element
+forms, scripts, adverts and so on, by element, role, class or id) is taken out: by class or id never what holds
+an article or a main, and by a name that may as well tell of the layout (sidebar-left), or as a form, only what does not hold
+the densest core either. Reader comments go even where they are longer than the article. Every remaining element
 gets a density: its characters per tag, adjusted for how much of them are links. An element's sum is that
 of its children's densities; the largest sum marks the core of the article. The least density on the way
 from the core up to the body is the threshold: the chosen subtree is the lowest one that holds the core, the
@@ -45,7 +46,7 @@ SIBLING_SCOPE = frozenset("ul ol menu dl table tbody thead tfoot select body htm
 
 # What is no part of an article.
 DROPPED = frozenset(
-    "head script style nav footer aside form button iframe noscript template select textarea svg dialog"
+    "head script style nav footer aside button iframe noscript template select textarea svg dialog"
     " object embed canvas audio video menu noembed noframes xmp title".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu".split())
@@ -58,6 +59,14 @@ DROPPED_NAMES = frozenset(
 # Last parts of a class or id that name boilerplate only after a word that does (cookie-notice, site-header).
 AFTER_NAMES = frozenset("header notice notices notification share".split())
 BEFORE_THEM = DROPPED_NAMES | frozenset({"global", "privacy", "site", "top"})
+# Words that only say what kind of box the noun before them stands in (comment-list, share-buttons).
+BOXES = frozenset(
+    "area articles bar block body box button buttons col column container content entries form group holder icons inner"
+    " item items link links list outer panel post posts region row section slot strip text thread title unit"
+    " widget widgets wrap wrapper zone".split()
+)
+# And where it stands; then it may be the page's layout that is named.
+PLACES = frozenset("bottom left primary right secondary top".split())
 OTHERWISE = frozenset("free has hide hides hidden no non not with without".split())
 ARTICLES = frozenset({"article", "main"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -72,31 +81,52 @@ _ATTRIBUTE = re.compile(r"([^\s/=>\"'][^\s/=>]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([
 _NAME = re.compile(r"[a-z0-9]+")
 
 
-def _names_boilerplate(token: str) -> bool:
-    """Whether a class or id as a whole, or its last part as the noun of the others, is in DROPPED_NAMES."""
-    *before, last = _NAME.findall(token.split("--")[0]) or [""]
+# How an element is named: not as boilerplate, perhaps, or surely.
+PLAIN, PERHAPS, SURELY = 0, 1, 2
+
+
+def _split_box(part: str) -> list[str]:
+    """A part and the box written to its end (commentlist), if what is before it is boilerplate."""
+    for end in range(len(part) - 1, 1, -1):
+        if part[:end] in DROPPED_NAMES and part[end:] in BOXES:
+            return [part[:end], part[end:]]
+    return [part]
+
+
+def _names_boilerplate(token: str) -> int:
+    """Whether a class or id as a whole, or the noun of its parts, is in DROPPED_NAMES. Boxes and places behind the noun
+    do not count, but with a place it is only perhaps."""
+    parts = [p for part in _NAME.findall(token.split("--")[0]) for p in _split_box(part)]
+    sure = SURELY
+    while len(parts) > 1 and parts[-1] not in DROPPED_NAMES and (parts[-1] in BOXES or parts[-1] in PLACES or parts[-1].isdigit()):
+        if parts.pop() in PLACES:
+            sure = PERHAPS
+    *before, last = parts or [""]
     if last not in DROPPED_NAMES or not OTHERWISE.isdisjoint(before):
-        return False
-    return not before or last not in AFTER_NAMES or not BEFORE_THEM.isdisjoint(before)
+        return PLAIN
+    if before and last in AFTER_NAMES and BEFORE_THEM.isdisjoint(before):
+        return PLAIN
+    return sure
 
 
-def _judged(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is no part of an article for certain, and whether its class or id says so."""
+def _judged(tag: str, attributes: str, in_article: bool) -> tuple[bool, int]:
+    """Whether an element is no part of an article for certain, and how its class or id names it."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True, False
-    named = False
+        return True, PLAIN
+    named = PERHAPS if tag == "form" else PLAIN
     if not attributes or tag in ("body", "html"):
-        return False, False
+        return False, named
     for match in _ATTRIBUTE.finditer(attributes):
         name = (match[1] or "").lower()
         value = (match[2] or match[3] or match[4] or "").lower()
         if name == "role" and value in DROPPED_ROLES:
-            return True, False
+            return True, PLAIN
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True, False
-        if name in ("class", "id") and tag not in ARTICLES and tag != "header":
-            tokens = [t for t in value.split() if _names_boilerplate(t)]
-            named = named or any(not in_article or _NAME.findall(t)[-1] != "header" for t in tokens)
+            return True, PLAIN
+        if name in ("class", "id") and tag not in ARTICLES and tag not in ("header", "form"):
+            for token in value.split():
+                if not in_article or "header" not in _NAME.findall(token):
+                    named = max(named, _names_boilerplate(token))
     return False, named
 
 
@@ -107,9 +137,9 @@ class Tree:
         self.tags = ["body"]
         self.parents = [-1]
         self.items: list[list] = [[]]  # texts and the numbers of child elements, in order
-        self.named = [False]  # whether a class or id says that the element is no part of an article
+        self.named = [PLAIN]  # whether a class or id says that the element is no part of an article
 
-    def add(self, tag: str, parent: int, named: bool = False) -> int:
+    def add(self, tag: str, parent: int, named: int = PLAIN) -> int:
         number = len(self.tags)
         self.tags.append(tag)
         self.parents.append(parent)
@@ -137,32 +167,51 @@ class Tree:
         return tree
 
 
+class OpenElements:
+    """The elements that are open at a place of the page, and where each name stands among them; nothing walks them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("", 0)]  # number -1: within a dropped element
+        self.depths: dict[str, list[int]] = {}
+
+    def push(self, tag: str, number: int) -> None:
+        self.depths.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, number))
+
+    def any(self, names: frozenset) -> bool:
+        return any(self.depths.get(name) for name in names)
+
+    def close(self, tag: str, scope: frozenset = frozenset()) -> None:
+        """Close the last open ``tag`` and all within it, if there is one and no element of ``scope`` lies within it."""
+        depths = self.depths.get(tag)
+        if not depths:
+            return
+        depth = depths[-1]
+        if any((self.depths.get(name) or (0,))[-1] > depth for name in scope):
+            return
+        while len(self.stack) > depth:
+            self.depths[self.stack.pop()[0]].pop()
+
+
+_HEADER = frozenset({"header"})
+_CLOSES_P_SCOPE = CLOSES_P - {"p"}
+
+
 def build_tree(page: str) -> Tree:
     """The elements of a page, without those that are no part of an article for certain."""
     tree = Tree()
-    open_: list[tuple[str, int]] = [("", 0)]  # number -1: within a dropped element
+    open_ = OpenElements()
     position = 0
-    headers = 0  # so far
 
     def text(piece: str) -> None:
-        number = open_[-1][1]
+        number = open_.stack[-1][1]
         if not piece or number < 0:
             return
-        if headers:
-            # Of a header inside an article only its headings belong to the text.
-            names = {name for name, _ in open_}
-            if "header" in names and names.isdisjoint(HEADINGS):
-                return
+        # Of a header inside an article only its headings belong to the text.
+        if open_.any(_HEADER) and not open_.any(HEADINGS):
+            return
         tree.items[number].append(html.unescape(piece))
 
-    def close(tag: str, scope: frozenset = frozenset()) -> None:
-        for depth in range(len(open_) - 1, 0, -1):
-            if open_[depth][0] == tag:
-                del open_[depth:]
-                return
-            if open_[depth][0] in scope:
-                return
-
     while position < len(page):
         match = _TAG.search(page, position)
         if match is None:
@@ -174,21 +223,19 @@ def build_tree(page: str) -> Tree:
         if not tag:
             continue
         if page[match.start() + 1] == "/":
-            close(tag)
+            open_.close(tag)
             continue
         attributes = match[2] or match[4] or ""
         if tag in CLOSES_P:
-            close("p", frozenset(CLOSES_P - {"p"}))
+            open_.close("p", _CLOSES_P_SCOPE)
         for sibling in SIBLINGS.get(tag, ()):
-            close(sibling, SIBLING_SCOPE)
-        headers += tag == "header"
-        parent = open_[-1][1]
+            open_.close(sibling, SIBLING_SCOPE)
+        parent = open_.stack[-1][1]
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, position)
             position = end.end() if end else len(page)
             continue
-        inside = any(name in ARTICLES for name, _ in open_)
-        dropped, named = (True, False) if parent < 0 else _judged(tag, attributes, inside)
+        dropped, named = (True, PLAIN) if parent < 0 else _judged(tag, attributes, open_.any(ARTICLES))
         if dropped:
             number = -1
         elif tag in ("html", "body"):
@@ -196,7 +243,7 @@ def build_tree(page: str) -> Tree:
         else:
             number = tree.add(tag, parent, named)
         if tag not in VOID:
-            open_.append((tag, number))
+            open_.push(tag, number)
     return tree
 
 
@@ -229,30 +276,53 @@ def densities(tree: Tree) -> tuple[list[float], list[float], list[float]]:
     return density, sums, [(c - lc) / max(1, t) for c, t, lc in zip(chars, tags, link_chars)]
 
 
+WRAPPER_SHARE, WRAPPER_REST = 0.1, 250
+
+
+def _holding(tree: Tree, held: list[int]) -> set[int]:
+    """Some elements and all that hold them."""
+    kept: set[int] = set()
+    for i in held:
+        while i >= 0 and i not in kept:
+            kept.add(i)
+            i = tree.parents[i]
+    return kept
+
+
+def _characters(tree: Tree) -> int:
+    return sum(len("".join(item.split())) for items in tree.items for item in items if isinstance(item, str))
+
+
 def without_boilerplate(tree: Tree) -> Tree:
     """The tree without the elements whose class or id names boilerplate.
 
-    What holds an article, a main or the densest core stays whatever its name. Where the page has an article
-    or main with text, the core is that of their elements. If nothing would be left, all stays.
+    What holds an article or a main stays whatever its name. Of the rest, what is surely named goes first, so that text without
+    such a name wins even over denser comments; only if next to nothing were left (less than ``WRAPPER_SHARE`` of
+    what goes, and ``WRAPPER_REST`` characters), the name is that of a wrapper, and counts as perhaps. What is perhaps named
+    goes if it does not hold the densest core of what is left. Where the page has an article or main with text,
+    the core is that of their elements. If nothing would be left, all stays.
     """
     if not any(tree.named):
         return tree
-    sums = densities(tree)[1]
     n = len(tree.tags)
+    kept = _holding(tree, [i for i in range(n) if tree.tags[i] in ARTICLES])
+    surely = {i for i in range(n) if tree.named[i] == SURELY and i not in kept}
+    left = tree.without(surely) if surely else tree
+    rest = _characters(left)
+    if surely and rest < WRAPPER_REST and rest < WRAPPER_SHARE * (_characters(tree) - rest):
+        left = tree
+    if not any(left.named):
+        return left
+    sums = densities(left)[1]
+    n = len(left.tags)
     inside = [False] * n
     for i in range(n):
-        inside[i] = tree.tags[i] in ARTICLES or (i > 0 and inside[tree.parents[i]])
+        inside[i] = left.tags[i] in ARTICLES or (i > 0 and inside[left.parents[i]])
     among = [i for i in range(n) if inside[i] and sums[i] > 0] or range(n)
-    held = [i for i in range(n) if tree.tags[i] in ARTICLES]
-    held.append(max(among, key=lambda i: (sums[i], -i)))
-    kept: set[int] = set()
-    for i in held:
-        while i >= 0 and i not in kept:
-            kept.add(i)
-            i = tree.parents[i]
-    dropped = {i for i in range(n) if tree.named[i] and i not in kept}
-    left = tree.without(dropped)
-    return left if any(isinstance(item, str) and item.strip() for items in left.items for item in items) else tree
+    held = [i for i in range(n) if left.tags[i] in ARTICLES]
+    kept = _holding(left, [*held, max(among, key=lambda i: (sums[i], -i))])
+    last = left.without({i for i in range(n) if left.named[i] and i not in kept})
+    return last if _characters(last) else left
 
 
 def chosen(tree: Tree) -> int:

@@ -1,4 +1,8 @@
-"""HTML extraction on pages with known articles."""
+"""HTML extraction on pages with known articles, and densities against a plain recursion."""
+
+import math
+import random
+import time
 
 from riskbook.llm import html_text as h
 from riskbook.llm.common import read_table
@@ -142,3 +146,87 @@ def test_odd_rows(spark):
     found = h.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert sorted(r.text for r in found) == ["", "", "a", "a"]
     assert h.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+COMPOUNDS = (
+    "comments-area", "comment-list", "comment-section", "commentlist", "comment-body", "comments-wrapper", "sidebar-left",
+    "sidebar-right", "left-sidebar", "related-posts", "related-articles", "share-buttons", "social-links", "ad-container",
+    "ads-wrapper", "ad-slot-2", "footer-links", "cookie-bar", "newsletter-box", "newsletter-signup", "widget-area", "nav-links",
+    "nav-menu", "promo-box", "promo_block", "popup-inner", "sponsored-content", "breadcrumb-list", "pagination-wrap", "notice-bar",
+)
+
+
+def test_compound_names_of_boilerplate():
+    markup, texts = _numbered("<p>{}</p>", 8)
+    for name in COMPOUNDS:
+        for around in ("<article>{}</article>{}", "<article>{}{}</article>", "<div>{}{}</div>"):
+            page = _page(around.format(markup, f'<div class="x {name}"><p>{LONG * 4}</p></div>'))
+            assert h.main_text(page) == "\n".join(texts), (name, around)
+
+
+def test_compound_names_around_the_page_keep_it():
+    markup, texts = _numbered("<p>{}</p>", 8)
+    for name in ("sidebar-left", "sidebar-right", "widget-container", "ad-free-content", "no-sidebar-left", "social-section"):
+        for article in (markup, f"<article>{markup}</article>"):
+            assert h.main_text(_page(f'<div class="{name}">{article}</div>')) == "\n".join(texts), name
+
+
+def test_comments_go_even_where_they_are_longer():
+    markup, texts = _numbered("<p>{}</p>", 4)
+    replies, _ = _numbered("<div><p>{}</p></div>", 30, 100)
+    for name in ("comments", "comments-area", "comment-list", "disqus"):
+        for page in (f'<div>{markup}</div><div class="{name}">{replies}</div>', f'<div>{markup}<section id="{name}">{replies}</section></div>'):
+            assert h.main_text(_page(page)) == "\n".join(texts), name
+
+
+def test_form_around_the_page_keeps_its_article():
+    markup, texts = _numbered("<p>{}</p>", 8)
+    for article in (markup, f"<article>{markup}</article>", f"<main><div>{markup}</div></main>"):
+        page = f'<form action="/x"><input type="hidden" value="1"><nav>Menu</nav><div>{article}</div></form>'
+        assert h.main_text(_page(page)) == "\n".join(texts)
+    page = f"<div>{markup}</div><form><p>Sign up for our letter. {LONG}</p><input></form>"
+    assert h.main_text(_page(page)) == "\n".join(texts)
+
+
+def test_unclosed_and_stray_tags_take_linear_time():
+    for body in ("<b>x" * 50_000, "</div>" * 50_000, "<p>x</b></i>" * 25_000, "<div>x" * 50_000, "<li><div><b>x" * 20_000, "<article>" + "<b>x</header>" * 30_000):
+        start = time.perf_counter()
+        h.main_text(f"<body><p>{LONG}</p>{body}</body>")
+        assert time.perf_counter() - start < 5
+
+
+def _plain_densities(tree):
+    """Characters, tags and links of every subtree counted anew from the top, and the density by its formula."""
+
+    def count(i, linked):
+        linked = linked or tree.tags[i] == "a"
+        chars = sum(len("".join(x.split())) for x in tree.items[i] if isinstance(x, str))
+        total = [chars, 0, chars if linked else 0, int(tree.tags[i] == "a")]
+        for child in (x for x in tree.items[i] if not isinstance(x, str)):
+            below = count(child, linked)
+            total = [total[0] + below[0], total[1] + below[1] + 1, total[2] + below[2], total[3] + below[3]]
+        if tree.tags[i] == "a":
+            total[3] = total[1] + 1
+        return total
+
+    chars, _, links, _ = count(0, False)
+    found = []
+    for i in range(len(tree.tags)):
+        c, t, lc, lt = count(i, False)
+        base = math.log(c * lc / max(1, c - lc) + links / max(1, chars) * c + math.e)
+        found.append(c / max(1, t) * math.log(1 + c / max(1, lc) * max(1, t) / max(1, lt)) / math.log(1 + base) if c else 0.0)
+    return found, [sum(found[x] for x in items if not isinstance(x, str)) for items in tree.items]
+
+
+def test_densities_are_those_of_a_plain_recursion():
+    chance = random.Random(6)
+    for _ in range(60):
+        tree = h.Tree()
+        for _ in range(chance.randint(1, 40)):
+            number = tree.add(chance.choice(["div", "p", "section", "a", "span"]), chance.randrange(len(tree.tags)))
+            if chance.random() < 0.7:
+                tree.items[number].append("word " * chance.randint(1, 30))
+        density, sums = _plain_densities(tree)
+        found = h.densities(tree)
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(found[0], density))
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(found[1], sums))
