@@ -150,3 +150,49 @@ def _(df):
     rows = rule(df).withColumn("target", F.col("target").cast("double"))
     area = M.evaluator_area(rows, label="target", raw="score", bins=0)
     return rows.agg(F.count(F.lit(1)).alias("loans"), F.round(F.lit(area), 8).alias("area"))
+
+
+# Scores that differ by less than 0.0004 crowd in few slices of the line; a low bound has those cut again.
+CROWDED = "0.5 + loan_amnt / 1e9"
+
+
+def crowded(df: DataFrame) -> DataFrame:
+    return rule(df).withColumn("score", 0.5 + F.col("margin") / 1e9)
+
+
+CROWDED_RULE = f"rule AS (SELECT 1 - ({BAD}) AS target, {CROWDED} AS score FROM loans)"
+
+
+@query(
+    "roc_points_crowded",
+    f"WITH {CROWDED_RULE}, {roc_sql('score')} SELECT *, fp / all_misses::DOUBLE AS fpr,"
+    " tp / all_hits::DOUBLE AS tpr FROM p",
+)
+def _(df):
+    return M.roc_points(crowded(df), most=200)
+
+
+@query(
+    "roc_area_crowded",
+    f"""
+    WITH {CROWDED_RULE}, {roc_sql('score')}
+    SELECT round(sum(misses * (2 * tp - hits))::DOUBLE / (2 * max(all_hits)::DOUBLE * max(all_misses)), 12)
+               AS area
+    FROM p
+    """,
+)
+def _(df):
+    return rounded(M.roc_area(M.roc_points(crowded(df), most=200)), 12, ["area"])
+
+
+@query(
+    "roc_curve_thinned",
+    f"""
+    WITH {CROWDED_RULE}, {roc_sql('score')}
+    SELECT *, fp / all_misses::DOUBLE AS fpr, tp / all_hits::DOUBLE AS tpr FROM p
+    WHERE floor((tp + fp) * 50 / (all_hits + all_misses)::DOUBLE)
+        > floor((tp + fp - hits - misses) * 50 / (all_hits + all_misses)::DOUBLE)
+    """,
+)
+def _(df):
+    return M.thinned(M.roc_points(crowded(df), most=200), 50)

@@ -9,7 +9,7 @@ from riskbook.catalog.registry import query
 from riskbook.functions import expressions as E
 from riskbook.functions import vocabulary as V
 from riskbook.operators import aggregates as A
-from riskbook.operators.lookup import attach, measured
+from riskbook.operators.lookup import attach, materialised
 from riskbook.operators.quantiles import median
 from riskbook.plans import exploration as P
 from riskbook.sources.tables import preview, register_view
@@ -81,7 +81,7 @@ for _value, _name in (("loan_amnt", "amount"), ("int_rate", "rate")):
         sketch = P.median_per_quarter_sql(prepared, value, accuracy)
         slack = F.col("n") / accuracy + 1
         ranked = (
-            attach(prepared, measured(sketch), ["issue_year"], [f"median_{value}"])
+            attach(prepared, materialised(sketch), ["issue_year"], [f"median_{value}"])
             .groupBy("issue_year")
             .agg(
                 F.count(F.lit(1)).alias("n"),
@@ -283,6 +283,28 @@ def _(df):
     )
 
 
+YEARS_OF_TEN = tuple(f"{n} years" for n in range(2, 10))
+
+
+@query(
+    "ordered_with_remainder",
+    f"""
+    WITH c AS (SELECT CASE WHEN total_acc % 7 = 0 THEN NULL ELSE emp_length END AS emp_length, count(*) AS n
+               FROM loans GROUP BY 1)
+    SELECT axis.rank, axis.label AS emp_length, coalesce(c.n, 0) AS n
+    FROM {sql_axis(YEARS_OF_TEN)} LEFT JOIN c ON c.emp_length = axis.label
+    UNION ALL
+    SELECT {len(YEARS_OF_TEN)}, emp_length, n FROM c
+    WHERE emp_length IS NULL OR emp_length NOT IN ({sql_list(YEARS_OF_TEN)})
+    """,
+)
+def _(df):
+    """Values that the order does not name, and NULL, follow behind it."""
+    gaps = df.withColumn("emp_length", F.when(F.col("total_acc") % 7 != 0, F.col("emp_length")))
+    counted = A.count_per(gaps, "emp_length")
+    return A.in_fixed_order(counted, "emp_length", YEARS_OF_TEN, ["n"], outside=True)
+
+
 @query(
     "category_codes",
     """

@@ -119,11 +119,16 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def in_fixed_order(
-    summary: DataFrame, key: str, order: Sequence[str], zeros: Sequence[str] = ()
+    summary: DataFrame,
+    key: str,
+    order: Sequence[str],
+    zeros: Sequence[str] = (),
+    outside: bool = False,
 ) -> DataFrame:
     """Put a per-key summary into a fixed category order and show the empty categories too.
 
-    Values outside the order are left out, as a chart with a fixed axis leaves them out. Columns in
+    Values outside the order are left out, as a chart with a fixed axis leaves them out; with ``outside`` they follow
+    behind it, NULL last, all with the rank after the last. Columns in
     ``zeros`` show 0 for an empty category, the others NULL.
     """
     values = F.array(*[F.lit(v) for v in order])
@@ -132,6 +137,10 @@ def in_fixed_order(
     shown = axis.join(summary, key, "left").select("rank", key, *rest)
     if zeros:
         shown = shown.fillna(0, subset=list(zeros))
+    if outside:
+        strange = ~F.coalesce(F.col(key).isin(list(order)), F.lit(False))
+        behind = summary.where(strange).select(F.lit(len(order)).alias("rank"), key, *rest)
+        return shown.unionByName(behind).orderBy("rank", F.asc_nulls_last(key))
     return shown.orderBy("rank")
 
 

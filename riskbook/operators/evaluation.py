@@ -10,8 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskbook.operators.lookup import attach, measured
-from riskbook.operators.quantiles import slice_of
+from riskbook.operators.lookup import attach, materialised
+from riskbook.operators.quantiles import ORDERED_ROWS, slice_of, sub_slice
 
 RATIOS = (
     "ratio_wrong",
@@ -98,14 +98,48 @@ def positive_scores(scored: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
+def _sliced(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The rows with the path of the slice of the score line they lie in, the counts of all those slices, and the path's
+    columns. Slices of more than ``most`` rows are cut again between their own ends until they are small or hold one
+    score; only the counts of crowded slices meet the rows, never the curve."""
+    hits, misses = F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("misses")
+    ends = F.min("threshold").alias("lowest"), F.max("threshold").alias("highest")
+    path = ["slice"]
+    cut = rows.withColumn("slice", slice_of(F.col("threshold")))
+    now = materialised(cut.groupBy(*path).agg(hits, misses, *ends), "scores")
+    crowded = (F.col("hits") + F.col("misses") > most) & (F.col("lowest") < F.col("highest"))
+    settled: list[DataFrame] = []
+    while True:
+        settled.append(now.where(~crowded))
+        open_ = now.where(crowded)
+        if open_.isEmpty():
+            break
+        step = f"slice{len(path)}"
+        inner = sub_slice(F.col("threshold"), F.col("lowest"), F.col("highest"))
+        here = F.when(F.col("lowest").isNotNull(), inner).alias(step)  # NULL where the slice is settled
+        cut = attach(cut, open_, path, ("lowest", "highest"), "left").select(*rows.columns, *path, here)
+        now = materialised(
+            cut.where(F.col(step).isNotNull()).groupBy(*path, step).agg(hits, misses, *ends), "scores"
+        )
+        path = [*path, step]
+    slices = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), settled)
+    return cut, slices, path
+
+
 def roc_points(
-    df: DataFrame, score: str = "score", target: str = "target", bins: int | None = None
+    df: DataFrame,
+    score: str = "score",
+    target: str = "target",
+    bins: int | None = None,
+    most: int = ORDERED_ROWS,
 ) -> DataFrame:
     """Threshold, false-positive and true-positive rate at every distinct score, best first.
 
     The running counts are not taken in one ordered pass over all scores. Counts per slice of the
-    score line give what lies above each slice; the order is then worked out inside each slice. With
-    ``bins`` scores are cut down to multiples of 1/bins first, for a curve of bounded size.
+    score line give what lies above each slice; the order is then worked out inside each slice, of which none
+    has more than ``most`` rows unless they share one score. With
+    ``bins`` scores are cut down to multiples of 1/bins first, and :func:`thinned` picks a curve of bounded size
+    from the exact counts.
     """
     value = F.col(score).cast("double")
     if bins:
@@ -113,32 +147,42 @@ def roc_points(
     rows = df.select(value.alias("threshold"), (F.col(target) == 1).alias("hit")).where(
         F.col("threshold").isNotNull() & F.col("hit").isNotNull()
     )
-    cut = rows.withColumn("slice", slice_of(F.col("threshold")))
+    cut, slices, path = _sliced(rows, most)
     hits, misses = F.count_if("hit"), F.count_if(~F.col("hit"))
-    above = Window.partitionBy(F.lit(0)).orderBy(F.desc("slice")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+
+    def above(window, count: str):
+        upto = F.sum(count).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return upto - F.col(count)
+
+    # First what lies above each first slice, one row for each, then above the finer ones within it.
+    firsts = slices.groupBy("slice").agg(F.sum("hits").alias("h"), F.sum("misses").alias("m"))
+    down, everything = Window.partitionBy(F.lit(0)).orderBy(F.desc("slice")), Window.partitionBy(F.lit(0))
+    firsts = firsts.select(
+        "slice",
+        above(down, "h").alias("base_hits"),
+        above(down, "m").alias("base_misses"),
+        F.sum("h").over(everything).alias("all_hits"),
+        F.sum("m").over(everything).alias("all_misses"),
     )
-    everything = Window.partitionBy(F.lit(0))
-    slices = measured(
-        cut.groupBy("slice")
-        .agg(hits.alias("h"), misses.alias("m"))
-        .select(
-            "slice",
-            (F.sum("h").over(above) - F.col("h")).alias("hits_above"),
-            (F.sum("m").over(above) - F.col("m")).alias("misses_above"),
-            F.sum("h").over(everything).alias("all_hits"),
-            F.sum("m").over(everything).alias("all_misses"),
-        )
+    finer = Window.partitionBy("slice").orderBy(F.desc("lowest"))
+    totals = ("all_hits", "all_misses")
+    based = attach(slices, firsts, ["slice"], ("base_hits", "base_misses", *totals))
+    placed_slices = materialised(
+        based.select(
+            *path,
+            (F.col("base_hits") + above(finer, "hits")).alias("hits_above"),
+            (F.col("base_misses") + above(finer, "misses")).alias("misses_above"),
+            *totals,
+        ),
+        "scores",
     )
     within = (
-        Window.partitionBy("slice")
+        Window.partitionBy(*path)
         .orderBy(F.desc("threshold"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    tied = cut.groupBy("slice", "threshold").agg(hits.alias("hits"), misses.alias("misses"))
-    placed = attach(
-        tied, slices, ["slice"], ("hits_above", "misses_above", "all_hits", "all_misses")
-    ).select(
+    tied = cut.groupBy(*path, "threshold").agg(hits.alias("hits"), misses.alias("misses"))
+    placed = attach(tied, placed_slices, path, ("hits_above", "misses_above", *totals)).select(
         "threshold",
         "hits",
         "misses",
@@ -160,6 +204,18 @@ def roc_points(
     )
 
 
+def thinned(points: DataFrame, steps: int = 1000) -> DataFrame:
+    """A curve of at most ``steps`` of the points, for drawing: those at which the rows so far pass a whole step, of equal
+    numbers of rows. Each point is kept or not by its own counts; the last one always stays."""
+    upto, own = F.col("tp") + F.col("fp"), F.col("hits") + F.col("misses")
+    total = F.col("all_hits") + F.col("all_misses")
+
+    def passed(rows):
+        return F.floor(rows * F.lit(steps) / total)
+
+    return points.where(passed(upto) > passed(upto - own))
+
+
 def roc_area(points: DataFrame) -> DataFrame:
     """Trapezoid area under the ROC points; NULL when one of the classes is absent.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +53,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
+    """One temporary folder for each local session."""
     return tempfile.mkdtemp(prefix="riskbook-")
 
 

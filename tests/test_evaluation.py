@@ -46,6 +46,51 @@ def test_binned_points_are_bounded_and_close(scored):
     assert abs(M.roc_area(points).first()["area"] - by_hand(scored)) < 0.01
 
 
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """Scores within 0.0004 of each other, of which most lie in one slice of the line."""
+    rng = np.random.default_rng(3)
+    target = rng.integers(0, 2, 4000)
+    score = 0.75 + rng.integers(0, 3000, 4000) * 1e-7 + target * 2e-5
+    score[:500] = 0.75 + rng.integers(0, 40, 500) * 1e-12
+    score[500:600] = rng.random(100)
+    rows = [(float(s), int(t)) for s, t in zip(score, target)]
+    return spark.createDataFrame(rows, "score double, target int").repartition(6).cache()
+
+
+@pytest.mark.parametrize("most", [1, 30, M.ORDERED_ROWS])
+def test_crowded_scores_give_the_same_points(crowded, most):
+    points = M.roc_points(crowded, most=most)
+    assert math.isclose(M.roc_area(points).first()["area"], by_hand(crowded), rel_tol=1e-12)
+    rows = points.collect()
+    pairs = [(r["score"], r["target"]) for r in crowded.collect()]
+    scores = np.array([s for s, _ in pairs])
+    hit = np.array([t for _, t in pairs])
+    assert len(rows) == len(set(scores))
+    for r in rows[::17]:
+        upto = scores >= r["threshold"]
+        assert (r["tp"], r["fp"]) == (hit[upto].sum(), (1 - hit[upto]).sum())
+
+
+def test_no_slice_of_scores_exceeds_the_bound(crowded):
+    rows = crowded.select(F.col("score").alias("threshold"), (F.col("target") == 1).alias("hit"))
+    cut, slices, path = M._sliced(rows, 30)
+    assert all(
+        r["hits"] + r["misses"] <= 30 or r["lowest"] == r["highest"] for r in slices.collect()
+    )
+    assert cut.count() == 4000 and max(r["count"] for r in cut.groupBy(*path).count().collect()) <= 30
+    assert max(r["count"] for r in cut.groupBy("slice").count().collect()) > 1000
+
+
+def test_thinned_curve(crowded):
+    points = M.roc_points(crowded)
+    thin = M.thinned(points, 50).collect()
+    assert 40 <= len(thin) <= 50 and max(r["tpr"] + r["fpr"] for r in thin) == 2.0
+    upto = sorted(r["tp"] + r["fp"] for r in thin)
+    own = max(r["hits"] + r["misses"] for r in points.collect())
+    assert max(b - a for a, b in zip(upto, upto[1:])) <= 4000 / 50 + own
+
+
 def test_area_of_a_single_class_is_null(scored):
     for target in (0, 1):
         one = scored.where(F.col("target") == target)

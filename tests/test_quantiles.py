@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskbook.operators import quantiles as Q
-from riskbook.operators.lookup import measured
 
 
 def nearly(a, b):
@@ -54,11 +53,54 @@ def test_global_quantiles(table, groups):
     assert all(nearly(row[n], e) for n, e in zip(Q.FIVE_NAMES, expected))
 
 
-def test_large_summaries_stay_distributed_and_give_the_same(table, monkeypatch):
-    small = {r["k"]: r for r in Q.box_stats(table, "v", ["k"]).collect()}
-    monkeypatch.setattr(Q, "measured", lambda summary: measured(summary, limit=0))
-    large = {r["k"]: r for r in Q.box_stats(table, "v", ["k"]).collect()}
-    assert small == large
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """Epoch microseconds of a day beside small values: one slice holds nearly all rows of a group."""
+    rng = random.Random(11)
+    start = 1.7e15
+    data = {
+        "micros": [start + rng.randrange(86_400_000_000) for _ in range(20_000)],
+        "nested": [start + rng.choice([0.0, 1e-1 * rng.randrange(900), float(rng.randrange(10**7))]) for _ in range(20_000)],
+        "one_value": [start] * 5000,
+        "plain": [float(rng.randrange(100)) for _ in range(500)],
+    }
+    rows = [(k, v) for k, vs in data.items() for v in vs]
+    return data, spark.createDataFrame(rows, "k string, v double").repartition(9).cache()
+
+
+def test_crowded_values_give_the_same_quantiles(crowded):
+    data, table = crowded
+    points = (0.0, 0.01, 0.25, 0.5, 0.75, 1.0)
+    names = [f"p{i}" for i in range(len(points))]
+    for most in (1, 50, Q.ORDERED_ROWS):
+        found = {r["k"]: r for r in Q.quantiles(table, "v", points, names, ["k"], most=most).collect()}
+        for key, values in data.items():
+            assert found[key]["n"] == len(values)
+            expected = np.quantile(values, points)
+            assert all(nearly(found[key][n], e) for n, e in zip(names, expected)), (key, most)
+
+
+def test_no_part_that_is_ordered_exceeds_the_bound(crowded):
+    data, table = crowded
+    rows = Q.measurements(table, "v", ["k"])
+    counts = Q.slice_counts(rows, ["k"])
+    assert max(r["held"] for r in counts.where("k = 'micros'").collect()) > 5000
+    cut = rows.withColumn("slice", Q.slice_of(F.col("value")))
+    parts = Q._wanted_parts(cut, counts, ["k"], Q.QUARTILES, "linear", 40).collect()
+    assert all(r["held"] <= 40 or r["lowest"] == r["highest"] for r in parts)
+    assert len(parts) <= 6 * len(data)
+
+
+def test_crowded_boxes(crowded):
+    data, table = crowded
+    found = {r["k"]: r for r in Q.box_stats(table, "v", ["k"], reach=0.5, most=100).collect()}
+    for key, values in data.items():
+        values = np.array(values)
+        q1, q3 = np.quantile(values, (0.25, 0.75))
+        inside = values[(values >= q1 - 0.5 * (q3 - q1)) & (values <= q3 + 0.5 * (q3 - q1))]
+        row = found[key]
+        assert (row["whisker_low"], row["whisker_high"]) == (inside.min(), inside.max())
+        assert row["outliers"] == len(values) - len(inside)
 
 
 def test_box_whiskers_and_outliers(table, groups):
