@@ -168,17 +168,20 @@ def _(df):
 @query(
     "gamma_sums",
     """
-    SELECT grade, count(*) AS n, round(sum(loan_amnt), 2) AS sum_x, round(sum(ln(loan_amnt)), 5) AS sum_log_x
-    FROM loans WHERE loan_amnt > 0 GROUP BY 1
+    SELECT grade, count(*) FILTER (loan_amnt > 2000) AS n,
+           round(sum(loan_amnt - 2000) FILTER (loan_amnt > 2000), 2) AS sum_x,
+           round(sum(ln(loan_amnt - 2000)) FILTER (loan_amnt > 2000), 5) AS sum_log_x,
+           count(*) FILTER (loan_amnt <= 2000) AS below
+    FROM loans GROUP BY 1
     """,
 )
 def _(df):
-    sums = D.gamma_sums(df, "loan_amnt", ["grade"])
+    sums = D.gamma_sums(df, "loan_amnt", ["grade"], location=2000.0)
     return rounded(rounded(sums, 2, ["sum_x"]), 5, ["sum_log_x"])
 
 
-def gamma_sql(value: str, steps: int = 12) -> str:
-    """Newton's method as a recursive query; the log-likelihood uses the engine's own lgamma."""
+def newton_sql(start: str, steps: int = 12) -> str:
+    """CTEs from ``start`` (n, sx, sl, tag) to ``fitted``: Newton's method as a recursive query."""
     reciprocals = " + ".join(f"1 / (a + {k})" for k in range(6))
     squares = " + ".join(f"1 / ((a + {k}) * (a + {k}))" for k in range(6))
     y = "(a + 6)"
@@ -191,21 +194,32 @@ def gamma_sql(value: str, steps: int = 12) -> str:
         f" + {squares}"
     )
     return f"""
-    WITH RECURSIVE t AS (
-        SELECT count(*) AS n, sum({value}) AS sx, sum(ln({value})) AS sl FROM loans WHERE {value} > 0
-    ), s AS (SELECT n, sx, sl, ln(sx / n) - sl / n AS s FROM t),
+    s AS (SELECT tag, n, sx, sl, ln(sx / n) - sl / n AS s FROM {start}),
     newton AS (
-        SELECT 0 AS step, n, sx, sl, s, (3 - s + sqrt((s - 3) * (s - 3) + 24 * s)) / (12 * s) AS a
+        SELECT 0 AS step, tag, n, sx, sl, s, (3 - s + sqrt((s - 3) * (s - 3) + 24 * s)) / (12 * s) AS a
         FROM s
         UNION ALL
-        SELECT step + 1, n, sx, sl, s,
+        SELECT step + 1, tag, n, sx, sl, s,
                a - (ln(a) - ({digamma}) - s) / (1 / a - ({trigamma})) AS a
         FROM newton WHERE step < {steps}
+    ), fitted AS (
+        SELECT tag, n, a AS shape, sx / n / a AS scale,
+               (a - 1) * sl - sx / (sx / n / a) - n * (a * ln(sx / n / a) + lgamma(a)) AS log_likelihood
+        FROM newton WHERE step = {steps}
     )
-    SELECT n, round(a, 6) AS shape, round(sx / n / a, 4) AS scale,
-           round((a - 1) * sl - sx / (sx / n / a) - n * (a * ln(sx / n / a) + lgamma(a)), 2)
-               AS log_likelihood
-    FROM newton WHERE step = {steps}
+    """
+
+
+def gamma_sql(value: str) -> str:
+    """The log-likelihood uses the engine's own lgamma."""
+    return f"""
+    WITH RECURSIVE t AS (
+        SELECT 0 AS tag, count(*) FILTER ({value} > 0) AS n, sum({value}) FILTER ({value} > 0) AS sx,
+               sum(ln({value})) FILTER ({value} > 0) AS sl FROM loans
+    ), {newton_sql("t")}
+    SELECT n, round(shape, 6) AS shape, round(scale, 4) AS scale, round(log_likelihood, 2) AS log_likelihood,
+           (SELECT count(*) FROM loans WHERE {value} <= 0) AS below
+    FROM fitted
     """
 
 
@@ -218,6 +232,29 @@ for _name, _value in (("gamma_fit_amount", "loan_amnt"), ("gamma_fit_rate", "int
         return rounded(rounded(fit, 4, ["scale"]), 2, ["log_likelihood"])
 
 
+def gamma_location_sql(value: str) -> str:
+    """The same candidates, each with sums over all rows."""
+    gaps = ", ".join(repr(g) for g in D.LOCATION_GAPS)
+    return f"""
+    WITH RECURSIVE e AS (SELECT min({value}) AS low, max({value}) AS high FROM loans),
+    c AS (SELECT low - gap * (high - low) AS tag FROM e, (SELECT unnest([{gaps}]::DOUBLE[]) AS gap)),
+    t AS (SELECT tag, count(*) AS n, sum({value} - tag) AS sx, sum(ln({value} - tag)) AS sl FROM loans, c GROUP BY 1),
+    {newton_sql("t")}
+    SELECT n, round(tag, 6) AS location, round(shape, 4) AS shape, round(scale, 4) AS scale,
+           round(log_likelihood, 1) AS log_likelihood
+    FROM fitted ORDER BY fitted.log_likelihood DESC LIMIT 1
+    """
+
+
+for _name, _value in (("gamma_location_rate", "int_rate"), ("gamma_location_dti", "dti")):
+
+    @query(_name, gamma_location_sql(_value))
+    def _(df, value=_value):
+        fit = D.gamma_fit_location(df, value, refine=False)
+        fit = rounded(rounded(fit, 6, ["location"]), 4, ["shape", "scale"])
+        return rounded(fit, 1, ["log_likelihood"])
+
+
 # --- five numbers and boxes ---------------------------------------------------------------------------
 
 
@@ -304,6 +341,33 @@ for _name, _value, _keys in (
         return as_doubles(box_stats(df, value, keys))
 
 
+# Epoch seconds crowd in a few slices of the number line; a low bound has the wanted ones cut again.
+EPOCH = "(datediff('day', DATE '1970-01-01', issue_d) * 86400 + total_acc * 1300 + dti * 7)"
+
+
+def with_epoch(df: DataFrame) -> DataFrame:
+    seconds = F.datediff("issue_d", F.lit("1970-01-01").cast("date")) * 86400 + F.col("total_acc") * 1300
+    return df.withColumn("epoch", seconds + F.col("dti") * 7)
+
+
+def of_epochs(sql: str) -> str:
+    return sql.replace("FROM loans", f"FROM (SELECT *, CAST({EPOCH} AS DOUBLE) AS epoch FROM loans)")
+
+
+@query(
+    "five_number_epoch_by_grade",
+    "SELECT * REPLACE (round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3)"
+    f" FROM ({of_epochs(five_sql('epoch', ('grade',)))})",
+)
+def _(df):
+    return as_doubles(five_numbers(with_epoch(df), "epoch", ["grade"], most=100))
+
+
+@query("box_epoch_by_grade", of_epochs(box_sql("epoch", ("grade",))))
+def _(df):
+    return as_doubles(box_stats(with_epoch(df), "epoch", ["grade"], most=100))
+
+
 @query("box_emp_length_rate", ordered_box_sql("int_rate", "emp_length", V.EMP_LENGTH_ORDER))
 def _(df):
     return as_doubles(P.rate_by_employment(df))

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.operators.lookup import attach, measured
+from riskbook.operators.lookup import attach, materialised
 from riskbook.operators.quantiles import measurements, quantiles
 
 MOST_BINS = 50
@@ -60,7 +60,7 @@ def histogram(
     flat = F.col("high") == F.col("low")
     low = F.when(flat, F.col("low") - 0.5).otherwise(F.col("low"))
     high = F.when(flat, F.col("high") + 0.5).otherwise(F.col("high"))
-    shape = measured(  # a single row, or none for a table without values
+    shape = materialised(  # a single row, or none for a table without values
         range_of.where(F.col("n") > 0).select(
             F.struct(
                 "n", "bins", low.alias("low"), ((high - low) / F.col("bins")).alias("width")
@@ -192,25 +192,24 @@ def _log_gamma(x: Column) -> Column:
 def gamma_sums(
     df: DataFrame, value: str, keys: Sequence[str] = (), location: float = 0.0
 ) -> DataFrame:
-    """Count, sum and sum of logs of the values above ``location``: all that the fit needs."""
-    rows = measurements(df, value, keys).select(*keys, (F.col("value") - location).alias("x"))
+    """Count, sum and sum of logs of the values above ``location``, all that the fit needs, and the count of the
+    others, ``below``, which no gamma distribution with this location can give."""
+    above = F.col("value") > location
+    x = F.when(above, F.col("value") - location)
     return (
-        rows.where(F.col("x") > 0)
+        measurements(df, value, keys)
         .groupBy(*keys)
         .agg(
-            F.count("x").alias("n"), F.sum("x").alias("sum_x"), F.sum(F.log("x")).alias("sum_log_x")
+            F.count(x).alias("n"),
+            F.sum(x).alias("sum_x"),
+            F.sum(F.log(x)).alias("sum_log_x"),
+            F.count_if(~above).alias("below"),
         )
     )
 
 
-def gamma_fit(
-    df: DataFrame, value: str, keys: Sequence[str] = (), location: float = 0.0
-) -> DataFrame:
-    """Maximum-likelihood gamma shape and scale per group, with the log-likelihood.
-
-    One pass over the rows; Newton's method then runs on three sums per group as a fold over the
-    step numbers. The location is given, not fitted. Constant groups have no fit (NULL).
-    """
+def _shape_and_scale(sums: DataFrame) -> DataFrame:
+    """Maximum-likelihood shape, scale and log-likelihood from n, sum_x and sum_log_x; NULL for equal values."""
     gap = F.log(F.col("sum_x") / F.col("n")) - F.col("sum_log_x") / F.col("n")
     start = (3 - F.col("s") + F.sqrt((F.col("s") - 3) ** 2 + 24 * F.col("s"))) / (12 * F.col("s"))
 
@@ -219,15 +218,96 @@ def gamma_fit(
         return shape - error / (1 / shape - _trigamma(shape))
 
     steps = F.sequence(F.lit(1), F.lit(_NEWTON_STEPS))
-    fitted = (
-        gamma_sums(df, value, keys, location)
-        .withColumn("s", F.when(gap > 1e-12, gap))
-        .withColumn("shape", F.aggregate(steps, start, newton))
-        .withColumn("scale", F.col("sum_x") / F.col("n") / F.col("shape"))
-    )
     likelihood = (
         (F.col("shape") - 1) * F.col("sum_log_x")
         - F.col("sum_x") / F.col("scale")
         - F.col("n") * (F.col("shape") * F.log("scale") + _log_gamma(F.col("shape")))
     )
-    return fitted.select(*keys, "n", "shape", "scale", likelihood.alias("log_likelihood"))
+    return (
+        sums.withColumn("s", F.when(gap > 1e-12, gap))
+        .withColumn("shape", F.aggregate(steps, start, newton))
+        .withColumn("scale", F.col("sum_x") / F.col("n") / F.col("shape"))
+        .withColumn("log_likelihood", likelihood)
+    )
+
+
+def gamma_fit(
+    df: DataFrame, value: str, keys: Sequence[str] = (), location: float = 0.0
+) -> DataFrame:
+    """Maximum-likelihood gamma shape and scale per group, with the log-likelihood.
+
+    One pass over the rows; Newton's method then runs on three sums per group as a fold over the
+    step numbers. The location is given; :func:`gamma_fit_location` fits it as well. Values at or below it are
+    counted as ``below``. Constant groups have no fit (NULL).
+    """
+    fitted = _shape_and_scale(gamma_sums(df, value, keys, location))
+    return fitted.select(*keys, "n", "shape", "scale", "log_likelihood", "below")
+
+
+# Candidates for the location lie below the smallest value, by these shares of the range: quarter octaves.
+LOCATION_GAPS = tuple(2.0 ** (k / 4) for k in range(-40, 9))
+LOCATION_BINS = 4096
+_FINER = 8
+
+
+def _location_profile(bins: DataFrame, keys: Sequence[str], gaps: Column) -> DataFrame:
+    """The fit at each candidate location, a gap below the group's smallest value, from its bins."""
+    groups = [*keys, "low", "high", "gap"]
+    x = F.col("middle") + F.col("gap") * (F.col("high") - F.col("low"))
+    sums = (
+        bins.withColumn("gap", F.explode(gaps))
+        .groupBy(*groups)
+        .agg(
+            F.sum("held").alias("n"),
+            F.sum(F.col("held") * x).alias("sum_x"),
+            F.sum(F.col("held") * F.log(x)).alias("sum_log_x"),
+        )
+    )
+    return _shape_and_scale(sums).withColumn(
+        "location", F.col("low") - F.col("gap") * (F.col("high") - F.col("low"))
+    )
+
+
+def _best_gap(profile: DataFrame, keys: Sequence[str]) -> DataFrame:
+    ranked = F.struct((-F.col("log_likelihood")).alias("least"), "gap", "location", "n", "shape", "scale")
+    fitting = profile.where(F.col("log_likelihood").isNotNull())
+    return fitting.groupBy(*keys).agg(F.min(ranked).alias("best"))
+
+
+def gamma_fit_location(
+    df: DataFrame, value: str, keys: Sequence[str] = (), refine: bool = True
+) -> DataFrame:
+    """Maximum-likelihood gamma location, shape and scale per group, with the log-likelihood.
+
+    Two passes over the rows: count and range of each group, then counts in ``LOCATION_BINS`` even bins that each stand
+    at the mean of their values, so values that repeat are exact. On these bins the likelihood is taken along
+    the location, at ``LOCATION_GAPS`` of the range below the smallest value, and with ``refine`` again on a finer
+    grid around the best. The smallest gap keeps clear of the value itself, where the likelihood of shapes
+    below 1 has no bound. No row lies below such a location. Constant groups have no fit and no row.
+    """
+    keys = list(keys)
+    rows = measurements(df, value, keys).withColumn("everyone", F.lit(1))
+    by = keys or ["everyone"]
+    ends = materialised(
+        rows.groupBy(*by)
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
+        .where(F.col("low") < F.col("high")),
+        "ends",
+    )
+    ranged = attach(rows, ends, by, ("low", "high"))
+    share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+    bins = materialised(
+        ranged.groupBy(*by, "low", "high", F.floor(share * LOCATION_BINS).alias("bin")).agg(
+            F.count(F.lit(1)).alias("held"), F.avg(F.col("value") - F.col("low")).alias("middle")
+        ),
+        "bins",
+    )
+    found = _best_gap(_location_profile(bins, by, F.array(*[F.lit(g) for g in LOCATION_GAPS])), by)
+    if refine:
+        near = F.array(*[F.col("best.gap") * 2.0 ** (k / (4 * _FINER)) for k in range(-_FINER + 1, _FINER)])
+        chosen = materialised(found.select(*by, near.alias("gaps")), "gaps")
+        finer = attach(bins, chosen, by, ("gaps",))
+        found = _best_gap(_location_profile(finer, by, F.col("gaps")), by)
+    return found.select(
+        *keys, "best.n", "best.location", "best.shape", "best.scale", (-F.col("best.least")).alias("log_likelihood")
+    )

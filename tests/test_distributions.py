@@ -120,3 +120,29 @@ def test_tables_without_values(spark):
     assert D.histogram(empty, "v", 5).count() == 0
     assert D.kernel_density(empty, "v").count() == 0
     assert D.gamma_fit(empty, "v").first()["shape"] is None
+
+
+def test_gamma_location_is_found_and_near_the_maximum(spark):
+    rng = np.random.default_rng(4)
+    groups = {"far": 1000 + rng.gamma(3.0, 40.0, 4000), "near": rng.gamma(2.0, 5.0, 4000), None: -50 + rng.gamma(4.0, 1.0, 3000)}
+    rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("flat", 2.0), ("flat", 2.0), ("far", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    found = {r["k"]: r for r in D.gamma_fit_location(df, "v", ["k"]).collect()}
+    assert set(found) == set(groups)
+    for key, location, scale in (("far", 1000, 40.0), ("near", 0, 5.0), (None, -50, 1.0)):
+        values, row = groups[key], found[key]
+        assert abs(row["location"] - location) < 0.6 * scale and row["n"] == len(values)
+
+        def likelihood(at, shape, width):
+            x = values - at
+            return float(np.sum((shape - 1) * np.log(x) - x / width) - len(x) * (shape * math.log(width) + math.lgamma(shape)))
+
+        assert math.isclose(row["log_likelihood"], likelihood(row["location"], row["shape"], row["scale"]), rel_tol=1e-4)
+        plain = D.gamma_fit(df.where(F.col("k").eqNullSafe(key)), "v", location=float(values.min()) - 0.001).first()
+        assert row["log_likelihood"] > plain["log_likelihood"] - 0.5
+
+
+def test_rows_at_or_below_the_location_are_counted(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (5.0,), (None,)], "v double")
+    row = D.gamma_fit(df, "v", location=2.0).first()
+    assert (row["n"], row["below"]) == (2, 2)
