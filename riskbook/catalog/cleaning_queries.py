@@ -161,3 +161,43 @@ def _(df):
 )
 def _(df):
     return C.cross_counts(df, "grade", "home_ownership")
+
+
+FREQUENT = ("sub_grade", "purpose", "addr_state", "loan_amnt", "annual_inc")
+
+
+@query(
+    "frequent_items",
+    " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS "column", {"CAST(CAST(annual_inc AS BIGINT) AS VARCHAR) || '.0'" if c == "annual_inc" else f"CAST({c} AS VARCHAR)"}
+                   AS value, count(*) AS n, count(*)::DOUBLE / (SELECT count(*) FROM loans) AS share
+        FROM loans GROUP BY {c} HAVING count(*)::DOUBLE / (SELECT count(*) FROM loans) > 0.0202
+        """
+        for c in FREQUENT
+    ),
+)
+def _(df):
+    """Values that more than 2.02 % of all loans share; loan amounts have none, incomes also NULL if it is frequent."""
+    return C.frequent_items(df, FREQUENT, 0.0202)
+
+
+QUANTILE_COLUMNS = ("loan_amnt", "int_rate", "annual_inc")
+PROBABILITIES = (0.1, 0.25, 0.5, 0.75, 0.9)
+
+
+@query(
+    "exact_by_sketch",
+    " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS "column", {p}::DOUBLE AS probability, CAST(quantile_disc({c}, {p}) AS DOUBLE) AS value,
+               count({c}) AS n, 0 AS rank_bound
+        FROM loans
+        """
+        for c in QUANTILE_COLUMNS
+        for p in PROBABILITIES
+    ),
+)
+def _(df):
+    """With no error allowed the sketch keeps every value, and its quantiles are the exact ones."""
+    return C.sketched_quantiles(df, QUANTILE_COLUMNS, PROBABILITIES, error=0.0)

@@ -338,3 +338,80 @@ def _(df):
     chosen = X.select_by_score(packed, 3, label=X.LABEL).selectedFeatures
     kept = [MEASURES[i] for i in sorted(chosen)]
     return rounded(X.anova_scores(rows, kept, X.LABEL), 6, ["f_value"])
+
+
+# --- encodings without a limit on values ------------------------------------------------------------
+
+# Loan amounts have nearly as many values as there are loans.
+WIDE = ("grade", "purpose", "loan_amnt")
+DICTIONARY = "d AS (SELECT *, row_number() OVER (ORDER BY place, n DESC, value) - 1 AS slot FROM (" + " UNION ALL ".join(
+    f"SELECT {i} AS place, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n FROM loans GROUP BY {c}"
+    for i, c in enumerate(WIDE)
+) + "))"
+
+
+@query("category_dictionary", f'WITH {DICTIONARY} SELECT "column", value, n, slot FROM d')
+def _(df):
+    return X.category_dictionary(df, WIDE)
+
+
+@query(
+    "long_encoding_sums",
+    f"WITH {DICTIONARY}, l AS ("
+    + " UNION ALL ".join(
+        f"SELECT term, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM loans" for c in WIDE
+    )
+    + ') SELECT term, "column", slot, CAST(count(*) AS DOUBLE) AS total FROM l JOIN d USING ("column", value) GROUP BY ALL',
+)
+def _(df):
+    encoded = X.long_encoding(df, ["id", "term"], WIDE)
+    return encoded.groupBy("term", "column", "slot").agg(F.sum("x").alias("total"))
+
+
+@query(
+    "long_vector_sums",
+    f"""
+    WITH {DICTIONARY}, l AS (
+        {" UNION ALL ".join(f"SELECT id, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM loans" for c in ("grade", "purpose"))}
+    ) SELECT slot, CAST(count(DISTINCT id) AS DOUBLE) AS total FROM l JOIN d USING ("column", value) GROUP BY 1
+    """,
+)
+def _(df):
+    """The vectors made from the long form, added up as vectors."""
+    columns = ["grade", "purpose"]
+    dictionary = X.category_dictionary(df, columns)
+    size = dictionary.count()
+    distinct = df.dropDuplicates(["id"])
+    packed = X.vectors_of(X.long_encoding(distinct, ["id"], columns, dictionary), ["id"], size)
+    sums = X.vector_sums(packed, [str(i) for i in range(size)])
+    return sums.select(F.col("feature").cast("bigint").alias("slot"), "total")
+
+
+@query("feature_column_list", """
+    SELECT name FROM (SELECT unnest(['loan_amnt', 'int_rate', 'weightless', 'termIndex', 'emp_lengthIndex']) AS name)
+    WHERE name <> 'weightless'
+    UNION ALL SELECT DISTINCT 'grade_' || grade FROM loans
+""")
+def _(df):
+    """All columns of a wide table but label and weight."""
+    source = df.select("loan_amnt", "int_rate", "term", "grade", "emp_length", bad_label().alias("isDefault"))
+    wide = X.encode_wide(source)
+    names = X.feature_columns(wide)
+    return df.limit(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("name"))
+
+
+@query(
+    "labelled_point_sums",
+    f"WITH {LABELLED} "
+    + " UNION ALL ".join(
+        f"SELECT CAST(ClassLable AS DOUBLE) AS label, '{c}' AS feature, round(sum({c}), 2) AS total FROM labelled GROUP BY 1"
+        for c in ("int_rate", "dti", "total_acc")
+    ),
+)
+def _(df):
+    columns = ["int_rate", "dti", "total_acc"]
+    points = X.labelled_points(X.assembler(columns).transform(labelled(df)), X.LABEL)
+    summed = points.groupBy("label").agg(X.Summarizer.sum(F.col("features")).alias("s"))
+    names = F.array(*[F.lit(c) for c in columns])
+    each = summed.select("label", F.inline(F.arrays_zip(names.alias("feature"), X.vector_to_array("s").alias("total"))))
+    return rounded(each, 2, ["total"])

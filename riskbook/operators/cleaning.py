@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskbook.functions import vocabulary as V
 from riskbook.functions.expressions import bad_label, cast_numbers, day, missing, number
+from riskbook.operators.lookup import materialised
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -121,6 +122,58 @@ def pair_statistics(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFram
     return measures.select(F.inline("measures"))
 
 
+def frequent_items(df: DataFrame, columns: Sequence[str], support: float = 0.01) -> DataFrame:
+    """The values that more than ``support`` of all rows hold, with their counts: column, value (as text), n, share.
+
+    The library's counters, at most 1/support for each column and merged from task to task, name a superset of those
+    values in one pass; a second pass counts these few exactly, and what does not reach the support goes. So the result
+    is exact, and nothing grows with the number of distinct values. NULL is a value like any other.
+    """
+    columns = list(columns)
+    names = [f"c{i}" for i in range(len(columns))]
+    texts = df.select(*[F.col(c).cast("string").alias(n) for c, n in zip(columns, names)])
+    # The library's counters take no NULL; a mark in front tells it from all texts.
+    marked = texts.select(*[F.coalesce(F.concat(F.lit("="), F.col(n)), F.lit("-")).alias(n) for n in names])
+    candidates = marked.stat.freqItems(names, support)
+    listed = F.array(
+        *[F.struct(F.lit(i).alias("at"), F.col(f"{n}_freqItems").alias("items")) for i, n in enumerate(names)]
+    )
+    wanted = candidates.select(F.inline(listed)).select("at", F.explode("items").alias("item"))
+    each = F.array(*[F.struct(F.lit(i).alias("at"), F.col(n).alias("item")) for i, n in enumerate(names)])
+    counted = (
+        marked.select(F.inline(each))
+        .join(materialised(wanted, "candidates"), ["at", "item"], "left_semi")
+        .groupBy("at", "item")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
+    share = F.col("n") / total
+    return counted.where(share > support).select(
+        F.array(*[F.lit(c) for c in columns])[F.col("at")].alias("column"),
+        F.when(F.col("item") != "-", F.expr("substr(item, 2)")).alias("value"),
+        "n",
+        share.alias("share"),
+    )
+
+
+def sketched_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], error: float = 0.001
+) -> DataFrame:
+    """The library's quantiles of several columns by a sketch with a stated error, in one pass over the rows: column,
+    probability, value, n and ``rank_bound``, by how many rows the rank of the value may be off. The value is always one
+    that occurs; NULL and NaN are left out."""
+    columns, probabilities = list(columns), [float(p) for p in probabilities]
+    found = df.stat.approxQuantile(columns, probabilities, error)
+    rows = [(c, p, v) for c, values in zip(columns, found) for p, v in zip(probabilities, values)]
+    frame = df.sparkSession.createDataFrame(rows, "column string, probability double, value double")
+    sizes = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in columns]),
+        F.array(*[F.count_if(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))) for c in columns]),
+    )
+    n = df.agg(sizes.alias("sizes")).scalar()[F.col("column")]
+    return frame.withColumn("n", n).withColumn("rank_bound", F.ceil(F.col("n") * F.lit(float(error))))
+
+
 def cross_counts(df: DataFrame, row: str, column: str) -> DataFrame:
     """Contingency counts in long form, so that neither axis has to fit in a schema."""
     return df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))

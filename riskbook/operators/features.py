@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml.feature import (
     PCA,
     IndexToString,
@@ -16,12 +17,14 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskbook.functions import vocabulary as V
 from riskbook.functions.expressions import employment_years, hash32
+from riskbook.operators.lookup import numbered
 
 LABEL = "ClassLable"
 WEIGHT = "weightColumn"
@@ -103,7 +106,8 @@ def category_values(
 ) -> dict[str, list[str]]:
     """Sorted distinct values of several columns, in one pass.
 
-    They become column names, so more than ``most`` in total is refused rather than cut short.
+    They become column names, so more than ``most`` in total is refused rather than cut short;
+    ``long_encoding`` takes any number.
     """
     columns = list(columns)
     pairs = F.array(
@@ -117,7 +121,7 @@ def category_values(
         .collect()
     )
     if len(found) > most:
-        raise ValueError(f"more than {most} values in {columns}: use one_hot_encoder instead")
+        raise ValueError(f"more than {most} values in {columns}: use one_hot_encoder or long_encoding instead")
     values: dict[str, list[str]] = {c: [] for c in columns}
     for row in found:
         values[row["name"]].append(row["value"])
@@ -157,6 +161,59 @@ def one_hot_columns(
     return df.select("*", *flags)
 
 
+# --- encodings without a limit on values ----------------------------------------------------------
+
+
+def category_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every value of every column with its count and slot: column, value, n, slot.
+
+    Slots are numbered column by column, most frequent value first and ties alphabetical, like those of
+    ``string_indexer``; but the dictionary is a table, so it may have any number of values. NULL is no value.
+    """
+    listed = F.array(
+        *[
+            F.struct(F.lit(i).alias("at"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+            for i, c in enumerate(columns)
+        ]
+    )
+    counted = (
+        df.select(F.inline(listed))
+        .where(F.col("value").isNotNull())
+        .groupBy("at", "column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return numbered(counted, ["at", F.desc("n"), "value"], "slot").drop("at")
+
+
+def long_encoding(
+    df: DataFrame, key: Sequence[str], columns: Sequence[str], dictionary: DataFrame | None = None
+) -> DataFrame:
+    """One row for each row and filled slot: the key, column, value, slot, x (1.0).
+
+    A value that the dictionary lacks has no row, as an unseen value is all zeros. Spark joins the dictionary by broadcast
+    or by shuffle, as its size allows.
+    """
+    dictionary = category_dictionary(df, columns) if dictionary is None else dictionary
+    listed = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+    pairs = df.select(*key, F.inline(listed)).where(F.col("value").isNotNull())
+    slots = dictionary.select("column", "value", "slot")
+    return pairs.join(slots, ["column", "value"]).select(
+        *key, "column", "value", "slot", F.lit(1.0).alias("x")
+    )
+
+
+def vectors_of(encoded: DataFrame, key: Sequence[str], size: int, output: str = "features") -> DataFrame:
+    """Sparse vectors of ``size`` slots from the long form, one for each key. A row has as many entries as it has columns;
+    the function that packs them is the only step that Spark has no expression for."""
+    packed = F.udf(
+        lambda entries: Vectors.sparse(size, [e["slot"] for e in entries], [e["x"] for e in entries]), VectorUDT()
+    )
+    entries = F.array_sort(F.collect_list(F.struct("slot", "x")))
+    return encoded.groupBy(*key).agg(entries.alias("entries")).select(*key, packed("entries").alias(output))
+
+
 # --- model table ----------------------------------------------------------------------------------
 
 
@@ -218,6 +275,24 @@ def covariances(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
+def component_invariants(projected: DataFrame, output: str = "pcaFeatures", least: float = 1e-6) -> DataFrame:
+    """What must hold of a full set of principal components: their count, the sum of their variances, and the largest
+    correlation between two of them that vary at all, by more than ``least`` (measure, value).
+
+    Both matrices of sums are added up from task to task, as the components themselves are, and have a row for each slot.
+    """
+    variances = projected.select(Summarizer.variance(F.col(output))).first()[0].toArray()
+    found = Correlation.corr(projected, output).first()[0].toArray()
+    varying = np.flatnonzero(variances > least)
+    between = np.abs(found[np.ix_(varying, varying)]) - np.eye(len(varying))
+    named = [
+        ("components", float(len(variances))),
+        ("variance", float(variances.sum())),
+        ("largest_correlation", float(np.max(between, initial=0.0))),
+    ]
+    return projected.sparkSession.createDataFrame(named, "measure string, value double")
+
+
 # --- splits -----------------------------------------------------------------------------------------
 
 

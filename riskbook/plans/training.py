@@ -19,12 +19,18 @@ from riskbook.functions import vocabulary as V
 from riskbook.functions.expressions import employment_years
 from riskbook.operators import cleaning, evaluation, models
 from riskbook.operators import features as X
-from riskbook.operators.lookup import measured
+from riskbook.operators.lookup import materialised
 from riskbook.sources.session import remove_at_exit, shared_folder, wide_rows
 from riskbook.sources.tables import write_table
 
 SPLIT_POINT = "split_point"
-MODEL_PARTITIONS = 16  # of the stored model table; more for tables beyond a few GB
+# Of the stored model table: small parts to fill the cores while there are few, then parts of a file's size.
+SMALL_PART_ROWS, PART_ROWS, SMALL_PARTS = 25_000, 1_000_000, 64
+
+
+def parts_for(rows: int) -> int:
+    """Partitions of a model table, from nothing but its number of rows."""
+    return max(1, min(-(-rows // SMALL_PART_ROWS), SMALL_PARTS), -(-rows // PART_ROWS))
 
 
 def model_table(
@@ -45,19 +51,20 @@ def model_table(
     return labelled.withColumnRenamed("isDefault", X.LABEL).drop(*V.ANALYSIS_COLUMNS)
 
 
-def stored(table: DataFrame, partitions: int = MODEL_PARTITIONS) -> DataFrame:
+def stored(table: DataFrame, partitions: int | None = None) -> DataFrame:
     """Write the model table to the shared folder and go on from the written copy.
 
     Training reads the table many times. From the copy each pass is a plain columnar scan, without
     cleaning the raw rows and averaging the fills over again, and a lost executor costs a re-read.
     The rows are dealt to ``partitions`` files by their split point and sorted in each, so the copy does
-    not depend on how the table arrived; it is removed when the session ends.
+    not depend on how the table arrived; by default their number follows from the counted rows. It is
+    removed when the session ends.
     The class weight is best added to the copy, where measuring the classes reads one column.
     """
     spark = table.sparkSession
     with wide_rows(spark):
         path = remove_at_exit(spark, f"{shared_folder(spark)}/riskbook-model-{uuid4().hex}")
-        dealt = table.repartition(partitions, SPLIT_POINT).sortWithinPartitions(SPLIT_POINT)
+        dealt = table.repartition(partitions or parts_for(table.count()), SPLIT_POINT).sortWithinPartitions(SPLIT_POINT)
         return write_table(dealt, path)
 
 
@@ -120,7 +127,7 @@ def compare_models(fitted: Mapping[str, PipelineModel], test: DataFrame, bins: i
             StorageLevel.MEMORY_AND_DISK
         )
     try:
-        return measured(evaluation.compare(scored, bins=bins))
+        return materialised(evaluation.compare(scored, bins=bins))
     finally:
         for rows in scored.values():
             rows.unpersist()

@@ -1,5 +1,6 @@
 import csv
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +139,18 @@ def test_counts_keep_null_keys_and_order_by_size(spark):
     rows = [tuple(r) for r in A.count_per(df, "s", largest_first=True).collect()]
     assert rows == [(None, 2), ("a", 1)]
     assert [r["n"] for r in A.count_per(df.where(F.col("s") == "a"), "s").collect()] == [1]
+
+
+def test_frequent_items_are_exact_and_sketch_keeps_its_bound(spark):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([np.full(600, 7), np.full(450, 9), rng.integers(1000, 10**6, 8950)]).tolist()
+    rows = [(v, None if i % 4 == 0 else ("-" if i % 4 == 1 else f"t{i}")) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "v int, t string").repartition(6)
+    found = {(r["column"], r["value"]): r["n"] for r in C.frequent_items(df, ["v", "t"], 0.04).collect()}
+    assert found == {("v", "7"): 600, ("v", "9"): 450, ("t", None): 2500, ("t", "-"): 2500}
+    assert C.frequent_items(df.limit(0), ["v"], 0.1).count() == 0
+    ordered = np.sort(values)
+    for row in C.sketched_quantiles(df, ["v"], [0.1, 0.5, 0.9], error=0.01).collect():
+        low, high = np.searchsorted(ordered, row["value"], "left"), np.searchsorted(ordered, row["value"], "right")
+        wanted = row["probability"] * row["n"]
+        assert row["rank_bound"] == 100 and low - row["rank_bound"] <= wanted <= high + row["rank_bound"]

@@ -107,6 +107,57 @@ def test_cross_validation_ranks_its_grid(parts, refit):
     assert "prediction" in search.model.transform(parts[1]).columns
 
 
+@pytest.mark.parametrize(
+    "name, grid",
+    [
+        ("bayes", {"smoothing": [1.0, 2.0, 50.0]}),
+        ("boosted", {"maxDepth": [2, 3], "maxIter": [1, 3], "stepSize": [0.1, 1.0]}),
+        ("logistic", {"regParam": [0.01, 1.0], "elasticNetParam": [1.0], "maxIter": [1, 3, 40]}),
+        ("svm", {"regParam": [0.1], "maxIter": [2, 100, 150]}),
+        ("forest", {"maxDepth": [2, 3], "impurity": ["gini"]}),
+    ],
+)
+def test_searches_with_fewer_fits_give_the_numbers_of_all_fits(parts, name, grid):
+    key = ["loan_amnt", "installment"]
+    ours = tuning.tune(name, parts[0], key, folds=3, grid=grid)
+    measure = tuning.MEASURES[name]
+    theirs = tuning.cross_validate(parts[0], models.estimator(name), grid, measure, folds=3, key=key)
+    found, expected = ({r["parameters"]: r[f"mean_{measure}"] for r in s.table.collect()} for s in (ours, theirs))
+    assert set(found) == set(expected) and len(found) == tuning.grid_size(grid)
+    assert all(np.isclose(found[p], expected[p], atol=1e-9) for p in expected)
+    assert "prediction" in ours.model.transform(parts[1]).columns
+    assert set(tuning.best_parameters(ours.fitted, list(grid))) == set(grid)
+
+
+def test_shared_runs_are_fewer(parts, monkeypatch):
+    """Boosted models of fewer steps are not fitted, and neither are linear ones beyond their convergence."""
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression
+
+    fits = []
+    for kind in (GBTClassifier, LogisticRegression):
+        monkeypatch.setattr(kind, "fit", lambda self, rows, f=kind.fit: fits.append(self) or f(self, rows))
+    key = ["loan_amnt", "installment"]
+    tuning.tune("boosted", parts[0], key, folds=2, grid={"maxDepth": [2], "maxIter": [1, 2, 3], "stepSize": [0.1]})
+    assert len(fits) == 2 + 1  # one a fold, and the best on all rows
+    fits.clear()
+    tuning.tune("logistic", parts[0], key, folds=2, grid={"regParam": [1.0], "elasticNetParam": [1.0], "maxIter": [50, 100, 200]})
+    assert len(fits) == 2 + 1
+
+
+def test_model_table_partitions_follow_its_rows(spark, sf_dir):
+    assert [training.parts_for(n) for n in (0, 1, 25_000, 25_001, 10**6, 10**8, 5 * 10**10)] == [1, 1, 1, 2, 40, 100, 50_000]
+    raw = loans(spark, sf_dir).drop("half_missing", "raw_amount")
+    first = training.stored(training.model_table(raw.repartition(3)))
+    second = training.stored(training.model_table(raw.repartition(11)))
+    assert first.count() == second.count()
+    # floats are added in another order; the layout itself is the same
+    for table in (first, second):
+        rows = table.select(training.SPLIT_POINT, F.input_file_name().alias("f")).collect()
+        assert len({r["f"] for r in rows}) == training.parts_for(len(rows))
+        points = [r[training.SPLIT_POINT] for r in rows]
+        assert points == sorted(points)
+
+
 def test_grade_model_predicts_many_classes(parts):
     model = training.grade_model(parts[0], models.forest(maxDepth=4))
     rows = parts[1].drop(X.LABEL).withColumnRenamed("grade", "grade_label")
@@ -145,19 +196,16 @@ def test_unreadable_numbers_and_dates_cost_their_rows(spark, sf_dir):
 def test_grids_are_registered_in_full(spark, sf_dir, monkeypatch):
     searched = {}
 
-    def record(train, model, grid, measure="areaUnderROC", folds=tuning.FOLDS, key=None, **options):
-        searched[type(model).__name__] = (tuning.grid_size(grid), folds, measure)
-        return tuning.Search(train, None, None)
+    def record(name, train, key, folds=tuning.FOLDS, grid=None, **options):
+        searched[name] = (tuning.grid_size(grid or tuning.GRIDS[name]), folds, options)
+        return tuning.Search(train.withColumns({"mean_accuracy": F.lit(0.5), "std_accuracy": F.lit(0.5)}), None, None)
 
-    monkeypatch.setattr(tuning, "cross_validate", record)
+    monkeypatch.setattr(tuning, "tune", record)
     monkeypatch.setattr(model_queries, "table", lambda df: df.withColumn(training.SPLIT_POINT, F.lit(0)))
     for name in ("cv_table", "cv_table_bayes", "cv_table_forest", "cv_table_boosted", "cv_table_svm"):
         QUERIES[name](spark, sf_dir)
-    assert searched == {
-        "LogisticRegression": (27, 10, "areaUnderROC"), "NaiveBayes": (3, 10, "accuracy"),
-        "RandomForestClassifier": (32, 10, "areaUnderROC"), "GBTClassifier": (27, 10, "accuracy"),
-        "LinearSVC": (9, 10, "areaUnderROC"),
-    }
+    sizes = {"logistic": 27, "bayes": 3, "forest": 32, "boosted": 27, "svm": 9}
+    assert searched == {name: (size, 10, {}) for name, size in sizes.items()}
 
 
 def test_method_limit_is_put_back(spark):
