@@ -12,6 +12,8 @@ from riskbook.catalog.registry import query
 from riskbook.functions import vocabulary as V
 from riskbook.operators import cleaning as C
 from riskbook.operators.aggregates import money_sum
+from riskbook.plans import exploration as P
+from riskbook.plans.training import model_table
 
 PROFILE = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls,"
@@ -201,3 +203,26 @@ PROBABILITIES = (0.1, 0.25, 0.5, 0.75, 0.9)
 def _(df):
     """With no error allowed the sketch keeps every value, and its quantiles are the exact ones."""
     return C.sketched_quantiles(df, QUANTILE_COLUMNS, PROBABILITIES, error=0.0)
+
+
+@query(
+    "columns_kept_for_training",
+    "SELECT unnest(["
+    + ", ".join(
+        f"'{c}'"
+        for c in (
+            "loan_amnt", "funded_amnt", "installment", "int_rate", "annual_inc", "dti", "total_acc",
+            *V.TWO_VALUED_CATEGORIES, *V.MANY_VALUED_CATEGORIES, "ClassLable", "emp_lengthIndex", "split_point",
+        )
+    )
+    + "]) AS name, (SELECT count(*) FROM loans WHERE annual_inc IS NOT NULL"
+    " AND (tot_cur_bal IS NOT NULL OR loan_status IN ('Fully Paid', 'Charged Off'))) AS n",
+)
+def _(df):
+    """Columns that only the exploration needs stay until the model table is made, and then go."""
+    explored = P.prepare(df.drop("half_missing", "raw_amount"))
+    if not set(V.ANALYSIS_COLUMNS) <= set(explored.columns):
+        raise AssertionError("the explored table lacks a column of the analysis")
+    table = model_table(explored)
+    counts = [F.struct(F.lit(c).alias("name"), F.count(c).alias("n")) for c in table.columns]
+    return table.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))

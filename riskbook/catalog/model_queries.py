@@ -36,7 +36,6 @@ for _query, _model in (
     ("rf_predictions", "forest"),
     ("gbt_predictions", "boosted"),
     ("svc_predictions", "svm"),
-    ("nb_test_predictions", "bayes"),
 ):
 
     @query(_query)
@@ -90,7 +89,7 @@ def _(df):
 @query("forest_importances")
 def _(df):
     train, _ = P.split(table(df))
-    model = P.fit_models(train, {"forest": models.forest(maxDepth=5)})["forest"]
+    model = P.fit_models(train, {"forest": models.forest()})["forest"]
     return models.importances(model, model.transform(train))
 
 
@@ -100,11 +99,12 @@ FOLD_KEY = ["loan_amnt", "int_rate", "total_acc", "addr_state", "sub_grade"]
 MODEL_NUMBERS = ("loan_amnt", "funded_amnt", "int_rate", "installment", "annual_inc", "dti", "total_acc")
 
 
-def bayes_search_sql(folds: int = 10) -> str:
-    """The whole search over long rows: encoded features, sums per fold, parameters, scores and accuracies."""
+def encoded_sql(fit: str = "true", folds: int = 10) -> str:
+    """CTEs to ``wide`` (one row for each cleaned loan) and ``long`` (one for each of its filled slots: f, x). Indexes and
+    labels are ordered by their frequency among the rows that ``fit`` takes."""
     indexes = ", ".join(
-        f"(SELECT i.at FROM (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS at"
-        f" FROM rows GROUP BY {c}) i WHERE i.v = rows.{c}) AS {c}Index"
+        f"(SELECT i.place FROM (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS place"
+        f" FROM cleaned WHERE {fit} GROUP BY {c}) i WHERE i.v = cleaned.{c}) AS {c}Index"
         for c in V.TWO_VALUED_CATEGORIES
     )
     years = (
@@ -118,20 +118,56 @@ def bayes_search_sql(folds: int = 10) -> str:
         f"CAST(CAST({c} AS DOUBLE) AS VARCHAR)" if c in MODEL_NUMBERS else c for c in FOLD_KEY
     )
     return f"""
-    WITH rows AS (
-        SELECT *, {BAD} AS y FROM loans
+    cleaned AS (
+        SELECT *, {BAD} AS y, CAST('0x' || substr(md5(id || '|1395'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS spot
+        FROM loans
         WHERE annual_inc IS NOT NULL
           AND (tot_cur_bal IS NOT NULL OR loan_status IN ('Fully Paid', 'Charged Off'))
-    ), r AS (SELECT CAST(sum(y) AS DOUBLE) / count(*) AS r FROM rows),
-    classes AS (SELECT y, CAST(row_number() OVER (ORDER BY count(*) DESC, y) - 1 AS DOUBLE) AS label FROM rows GROUP BY y),
-    wide AS (
-        SELECT row_number() OVER () AS id, y, abs(y - r) AS w, {years} AS years, {indexes}, rows.* EXCLUDE (y),
-               CAST('0x' || substr(md5({key} || '|1395'), 1, 8) AS BIGINT) % {folds} AS fold
-        FROM rows, r
+    ), r AS (SELECT CAST(sum(y) AS DOUBLE) / count(*) AS r FROM cleaned),
+    classes AS (
+        SELECT y, CAST(row_number() OVER (ORDER BY count(*) DESC, y) - 1 AS DOUBLE) AS label
+        FROM cleaned WHERE {fit} GROUP BY y
+    ), wide AS (
+        SELECT row_number() OVER () AS row_id, label, abs(y - r) AS w, {years} AS years, {indexes},
+               cleaned.* EXCLUDE (y), CAST('0x' || substr(md5({key} || '|1395'), 1, 8) AS BIGINT) % {folds} AS fold
+        FROM cleaned JOIN classes USING (y) CROSS JOIN r
     ), long AS (
-        SELECT id, fold, label, w, unnest([{', '.join(slots)}], recursive := true) FROM wide JOIN classes USING (y)
+        SELECT row_id, spot, fold, label, w, unnest([{', '.join(slots)}], recursive := true) FROM wide
+    )
+    """
+
+
+def bayes_predictions_sql(smoothing: float = 50.0, share: float = 0.7) -> str:
+    """Naive Bayes from the rows below the split point, scores of those above it."""
+    return f"""
+    WITH {encoded_sql(f"spot < {share}")},
+    mass AS (SELECT label, f, sum(w * x) AS m FROM long WHERE spot < {share} GROUP BY ALL),
+    weight AS (SELECT label, sum(w) AS w FROM wide WHERE spot < {share} GROUP BY ALL),
+    slots AS (SELECT count(DISTINCT f) AS d FROM mass),
+    theta AS (
+        SELECT t.label, a.f, ln(coalesce(m.m, 0) + {smoothing}) - ln(t.total + {smoothing} * d) AS theta
+        FROM (SELECT label, sum(m) AS total FROM mass GROUP BY ALL) t CROSS JOIN slots
+        CROSS JOIN (SELECT DISTINCT f FROM mass) a LEFT JOIN mass m ON m.label = t.label AND m.f = a.f
+    ), pi AS (SELECT label, ln(w + {smoothing}) - ln(sum(w) OVER () + 2 * {smoothing}) AS pi FROM weight),
+    scores AS (
+        SELECT row_id, long.label, t.label AS guess, sum(x * theta) + any_value(pi) AS score
+        FROM long JOIN theta t USING (f) JOIN pi ON pi.label = t.label WHERE spot >= {share} GROUP BY ALL
+    ), pairs AS (
+        SELECT row_id, label, max(score) FILTER (guess = 0) AS good, max(score) FILTER (guess = 1) AS bad
+        FROM scores GROUP BY ALL
+    )
+    SELECT label, CASE WHEN bad > good THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, count(*) AS n,
+           round(avg(1 / (1 + exp(least(greatest(bad - good, -700), 700)))), 6) AS mean_score
+    FROM pairs GROUP BY 1, 2
+    """
+
+
+def bayes_search_sql(folds: int = 10) -> str:
+    """The whole search over long rows: encoded features, sums per fold, parameters, scores and accuracies."""
+    return f"""
+    WITH {encoded_sql(folds=folds).rstrip()[:-1]}
     ), mass AS (SELECT fold, label, f, sum(w * x) AS m FROM long GROUP BY ALL),
-    weight AS (SELECT fold, label, sum(w) AS w FROM wide JOIN classes USING (y) GROUP BY ALL),
+    weight AS (SELECT fold, label, sum(w) AS w FROM wide GROUP BY ALL),
     grid AS (
         SELECT k.fold, s.smoothing FROM (SELECT unnest(range({folds})) AS fold) k, (SELECT unnest([1.0, 2.0, 3.0]) AS smoothing) s
     ), sums AS (
@@ -151,12 +187,12 @@ def bayes_search_sql(folds: int = 10) -> str:
                ln(w + smoothing) - ln(sum(w) OVER (PARTITION BY fold, smoothing) + 2 * smoothing) AS pi
         FROM heavy
     ), scores AS (
-        SELECT long.id, long.fold, long.label, t.smoothing, t.label AS guess, sum(x * theta) + any_value(pi) AS score
+        SELECT long.row_id, long.fold, long.label, t.smoothing, t.label AS guess, sum(x * theta) + any_value(pi) AS score
         FROM long JOIN theta t ON t.fold = long.fold AND t.f = long.f
         JOIN pi ON pi.fold = t.fold AND pi.smoothing = t.smoothing AND pi.label = t.label
         GROUP BY ALL
     ), guesses AS (
-        SELECT id, fold, label, smoothing, arg_max(guess, score) AS guess FROM scores GROUP BY ALL
+        SELECT row_id, fold, label, smoothing, arg_max(guess, score) AS guess FROM scores GROUP BY ALL
     ), accuracies AS (
         SELECT fold, smoothing, avg(CASE WHEN guess = label THEN 1.0::DOUBLE ELSE 0 END) AS a FROM guesses GROUP BY ALL
     ), ranked AS (
@@ -169,6 +205,11 @@ def bayes_search_sql(folds: int = 10) -> str:
     """
 
 
+@query("nb_test_predictions", bayes_predictions_sql())
+def _(df):
+    return rounded(predictions(df, "bayes"), 6, ["mean_score"])
+
+
 @query("cv_table_bayes", bayes_search_sql())
 def _(df):
     """All 30 fits from the sums of one pass."""

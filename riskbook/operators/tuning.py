@@ -27,7 +27,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.functions.expressions import hash32
@@ -163,8 +163,9 @@ def at_once(rows: DataFrame) -> int:
 
 
 def _in_threads(jobs: Iterable, run, threads: int) -> list:
+    session = SparkSession.active()
     with ThreadPool(threads) as pool:
-        return pool.map(inheritable_thread_target(run), list(jobs), chunksize=1)
+        return pool.map(inheritable_thread_target(session)(run), list(jobs), chunksize=1)
 
 
 def _by_settings(points: Sequence[dict], without: str) -> list[list[int]]:
@@ -262,7 +263,8 @@ def linear_metrics(
             most = points[i][model.maxIter]
             if taken is None or taken > most:
                 fitted = model.copy(points[i]).fit(split.train(fold))
-                taken = fitted.summary.totalIterations if hasattr(fitted.summary, "totalIterations") else fitted.summary().totalIterations
+                summary = fitted.summary() if callable(fitted.summary) else fitted.summary  # a method or a property, by model
+                taken = summary.totalIterations
                 value = evaluator(measure).evaluate(fitted.transform(split.held_out(fold)))
             metrics[fold, i] = value
 
