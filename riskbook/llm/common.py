@@ -93,3 +93,11 @@ def discard(*tables: DataFrame) -> None:
 def whole(text: str | Column) -> Column:
     """A text column in which NULL is the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+
+
+def in_sample(columns: list[str], seed: int, most: int, total: int) -> Column:
+    """Whether a hash of the columns falls into the share that holds about ``most`` of ``total`` rows. The share is a
+    threshold among 2**63 hashes, so it never rounds to nothing, whatever the size of the table."""
+    if total <= most:
+        return F.lit(True)
+    return F.shiftrightunsigned(F.xxhash64(*columns, F.lit(seed)), 1) < F.lit((2**63 * most) // total)

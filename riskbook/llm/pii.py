@@ -3,13 +3,14 @@
 Base spans are those of four formats (e-mail, ip address, card number, phone number) with their validity
 rules; they always stay. Beside them, generators propose spans of looser formats that may overlap: e-mail
 addresses written out, runs of seven or more digits with any separators, addresses of hexadecimal groups,
-account numbers. Boosted trees score every proposal from its format and its surroundings, and those above
+account numbers, and strings of 20 or more characters that may be a secret. Boosted trees score every proposal from its format and its surroundings, and those above
 the threshold of their generator are added, the best of overlapping ones.
 
 The trees learn from the corpus itself, from about ``MOST_TRAINING`` documents at most: positives are base spans, as they are
 and rewritten into the looser formats; negatives are proposals that break the rules of every format
-(failing check digits, octets over 255, dates, versions), and the positives with a digit or a separator
-spoilt. A quarter of all documents is held out, and the threshold of a generator is the least score that is right on
+(failing check digits, octets over 255, dates, versions, long words), and the positives with a digit or a separator
+spoilt. Secrets have no format: strings that mean nothing are positives behind a word for a key and negatives behind one for a
+hash or a path. A quarter of all documents is held out, and the threshold of a generator is the least score that is right on
 at least ``LEAST_PRECISION`` of what it selects in them all; a generator that never gets there adds nothing. Documents are chosen by the hash of their id and text.
 
 Everything is DataFrame functions and the trees of the DataFrame-based machine learning library. Positions are
@@ -28,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.llm.common import stored, whole
+from riskbook.llm.common import in_sample, stored, whole
 
 # The formats, in order.
 LOCAL = "A-Za-z0-9._%+-"
@@ -49,6 +50,7 @@ GENERATORS = (
     ),
     ("number", r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,30}(?![0-9A-Za-z])", r"[0-9]"),
     ("ip6", r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}:?[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", r"[0-9A-Fa-f]:[0-9A-Fa-f]"),
+    ("secret", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+", r"[A-Za-z0-9+/_-]{20}"),
     ("account", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[0-9A-Z]{4}){2,7}(?:\x20?[0-9A-Z]{1,3})?(?![0-9A-Za-z])", r"[A-Z]{2}[0-9]{2}"),
 )
 ADDED_KINDS = tuple(kind for kind, _, _ in GENERATORS)
@@ -63,27 +65,63 @@ _CUES = r"(?i)(?:call|phone|tel|mobile|fax|mail|contact|write|reach|card|visa|ib
 _COUNTER_CUES = r"(?i)(?:version|v|isbn|issn|order|item|page|no|nr|id|cc|by-[a-z-]*|rfc|build)\W*$"
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(lengths: Column) -> Column:
+    """Running sums of an array of n lengths in steps of its square root: sums within chunks, and of the chunks before."""
+    zero = F.lit(0).cast("bigint")
+
+    def sums(array: Column) -> Column:
+        first = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("all"))
+
+        def add(done: Column, x: Column) -> Column:
+            at = done["at"] + x
+            return F.struct(at.alias("at"), F.concat(done["all"], F.array(at)).alias("all"))
+
+        return F.aggregate(array, first, add)["all"]
+
+    def of(array: Column) -> Column:
+        n = F.size(array)
+        width = F.greatest(F.ceil(F.sqrt(n.cast("double"))).cast("int"), F.lit(1))
+        numbers = F.sequence(F.lit(0), F.ceil(n / width).cast("int") - 1)
+        chunks = F.transform(numbers, lambda k: sums(F.slice(array, k * width + 1, width)))
+
+        def joined(parts: Column) -> Column:
+            before = sums(F.concat(F.array(zero), F.transform(parts, lambda c: F.element_at(c, -1))))
+            return F.flatten(F.zip_with(parts, F.slice(before, 1, F.size(parts)), lambda c, b: F.transform(c, lambda x: x + b)))
+
+        return F.when(n > 0, _let(chunks, joined)).otherwise(F.array().cast("array<bigint>"))
+
+    return _let(lengths, of)
+
+
 def _spans(text: Column, kind: str, pattern: str, when: Column) -> Column:
-    """All matches with their places: what lies between them tells where they are."""
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    lengths = F.zip_with(values, between, lambda v, b: F.struct(F.length(b).alias("gap"), F.length(v).alias("own"), v.alias("value")))
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
-
-    def add(done: Column, one: Column) -> Column:
-        start = (done["at"] + one["gap"]).cast("bigint")
-        end = (start + one["own"]).cast("bigint")
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), one["value"].alias("value"),
-            F.substring(text, F.greatest(start - CONTEXT, F.lit(0)).cast("int") + 1, F.least(start, F.lit(CONTEXT)).cast("int")).alias("before"),
-            F.substring(text, end.cast("int") + 1, F.lit(4)).alias("after"),
-        )
-        # The piece after the last match has no match of its own.
-        return F.when(one["value"].isNull(), done).otherwise(
-            F.struct(end.alias("at"), F.concat(done["found"], F.array(span)).alias("found"))
+    """All matches with their places: the lengths of what lies between them tell where they are, and the pieces next to a
+    match give its surroundings, so a text is read once, however many matches it has."""
+    pieces = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"), F.split(text, pattern, -1).alias("between")
+    )
+
+    def built(p: Column) -> Column:
+        values, between = p["values"], p["between"]
+        ends = _running(
+            F.transform(values, lambda v, i: (F.length(F.get(between, i)) + F.length(v)).cast("bigint"))
         )
 
-    return F.when(when, F.aggregate(lengths, first, add)["found"]).otherwise(F.array().cast(f"array<{_SPAN}>"))
+        def span(v: Column, i: Column, end: Column) -> Column:
+            ahead = F.concat(F.coalesce(F.get(values, i - 1), F.lit("")), F.get(between, i))
+            behind = F.concat(F.coalesce(F.get(between, i + 1), F.lit("")), F.coalesce(F.get(values, i + 1), F.lit("")))
+            return F.struct(
+                F.lit(kind).alias("kind"), (end - F.length(v)).alias("start"), end.alias("end"), v.alias("value"),
+                F.substring(ahead, -CONTEXT, CONTEXT).alias("before"), F.substring(behind, 1, 4).alias("after"),
+            )
+
+        return _let(ends, lambda e: F.transform(values, lambda v, i: span(v, i, F.get(e, i))))
+
+    return F.when(when, _let(pieces, built)).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def digits_of(value: Column) -> Column:
@@ -141,7 +179,12 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return stored(rows.select("row", key, "id", *columns, proposals.alias("proposed")), "pii")
 
 
+# What stands before a secret, and before other strings of its kind.
+_KEY_CUES = r"(?i)(?:token|secret|passw\w*|pwd|credentials?|auth\w*|bearer|(?:api|access|private|secret)[_ -]?key)[\"']?\s*(?:[:=]>?\s*)?[\"']?$"
+_HASH_CUES = r"(?i)(?:commit|revision|sha-?[0-9]*|md5|checksum|digest|etag|blob|hash|version|file|path|url|https?:)[\"']?\s*[:=/]*\s*[\"']?$"
+
 FEATURES = (
+    "key_cue", "hash_cue", "assigned", "hexadecimal", "mixed", "distinct_characters",
     "length", "digits", "letters", "spaces", "dots", "hyphens", "parentheses", "colons", "groups", "longest",
     "distinct_digits", "luhn", "check97", "octets", "date", "decimal", "at", "at_word", "dot_word", "plus_before",
     "letter_before", "letter_after", "cue", "counter_cue", *ADDED_KINDS,
@@ -179,6 +222,9 @@ def _featured(candidates: DataFrame) -> DataFrame:
         "decimal": value.rlike(r"^[0-9]+[.][0-9]+$"), "at": F.contains(value, F.lit("@")),
         "at_word": value.rlike(r"(?i)[(\[{ ]at[)\]} ]"), "dot_word": value.rlike(r"(?i)[(\[{ ]dot[)\]} ]"),
         "plus_before": before.rlike(r"\+$"), "letter_before": before.rlike("[A-Za-z0-9]$"),
+        "key_cue": before.rlike(_KEY_CUES), "hash_cue": before.rlike(_HASH_CUES), "assigned": before.rlike(r"[:=]>?\s*[\"']?$"),
+        "hexadecimal": value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "mixed": value.rlike("[0-9]") & value.rlike("[A-Za-z]"),
+        "distinct_characters": F.size(F.array_distinct(F.split(value, ""))),
         "letter_after": after.rlike("^[A-Za-z0-9]"), "cue": before.rlike(_CUES), "counter_cue": before.rlike(_COUNTER_CUES),
     } | {kind: F.col("kind") == kind for kind in ADDED_KINDS}
     assembler = VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="features")
@@ -186,8 +232,30 @@ def _featured(candidates: DataFrame) -> DataFrame:
     return assembler.transform(numbered).drop(*[f"f_{n}" for n in FEATURES])
 
 
-def _overlaps(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+BLOCK = 256  # code points
+
+
+def _in_blocks(spans: DataFrame) -> DataFrame:
+    """The spans (row, start, end, ...) once for every block of the text that they touch."""
+    last = F.greatest(F.col("end") - 1, F.col("start"))
+    return spans.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor(last / BLOCK))))
+
+
+def _clashing(spans: DataFrame, others: DataFrame, better) -> DataFrame:
+    """(row, kind, start) of the spans that overlap one of the others that is better. They meet by the blocks of the
+    text, so what is compared is bounded by the length of a block, however long a text is."""
+    left = _in_blocks(spans)
+    right = _in_blocks(others).select(*[F.col(c).alias(f"o_{c}") for c in [*others.columns, "block"]])
+    meeting = (F.col("row") == F.col("o_row")) & (F.col("block") == F.col("o_block"))
+    overlap = (F.col("start") < F.col("o_end")) & (F.col("o_start") < F.col("end"))
+    return left.join(right, meeting & overlap & better, "left_semi").select("row", "kind", "start").distinct()
+
+
+def _free(found: DataFrame) -> DataFrame:
+    """The proposals that overlap no base span: row, key and the span."""
+    proposed = stored(found.select("row", "key", F.explode("proposed").alias("s")).select("row", "key", "s.*"), "pii-proposed")
+    base = found.select("row", F.explode(F.concat(*KINDS)).alias("s")).select("row", "s.start", "s.end")
+    return stored(proposed.join(_clashing(proposed, base, F.lit(True)), ["row", "kind", "start"], "left_anti"), "pii-free")
 
 
 def _rewritten(base: DataFrame) -> DataFrame:
@@ -204,8 +272,22 @@ def _rewritten(base: DataFrame) -> DataFrame:
     remainder = F.concat(inner, F.lit("131400")).try_cast("decimal(38,0)") % 97
     checked = F.concat(F.lit("DE"), F.lpad((F.lit(98) - remainder).cast("string"), 2, "0"), inner)
     spaced = F.trim(F.regexp_replace(checked, "(.{4})", "$1 "))
+    word = F.regexp_replace(F.md5(v), "[0-9]", "e")
+    sha1, wide = F.sha1(v.cast("binary")), F.regexp_replace(F.base64(F.sha2(v, 256).cast("binary")), "=", "")
+    # Secrets have no format of their own: a string that means nothing, where a key, a token or a password is given.
+    secrets = [
+        ("secret", 1, sha1, 'token = "'), ("secret", 1, F.md5(v), "api_key="), ("secret", 1, F.upper(sha1), 'TOKEN = "'),
+        ("secret", 1, F.substring(wide, 1, 44), "secret: "), ("secret", 1, F.substring(wide, 3, 24), 'password = "'),
+        ("secret", 1, F.md5(v), "Authorization: Bearer "), ("secret", 1, sha1, "and access key: "),
+        ("secret", 0, sha1, "commit "), ("secret", 0, F.md5(v), "md5: "), ("secret", 0, F.md5(v), "the file "),
+        ("secret", 0, F.substring(word, 1, 24), "and the "), ("secret", 0, F.substring(word, 1, 22), 'token = "'),
+        ("secret", 0, F.concat_ws("/", F.lit("docs"), F.substring(word, 1, 8), F.substring(word, 9, 9)), "https:/"),
+        ("secret", 0, F.concat_ws("-", F.substring(word, 1, 6), F.substring(word, 7, 7), F.substring(word, 14, 8)), "a "),
+        ("secret", 0, F.concat(digits, digits, F.lit("0000")), "no "),
+    ]
     forms = {
         "email": [
+            *secrets,
             ("email_text", 1, F.regexp_replace(F.regexp_replace(v, "@", " at "), r"\.(?=[A-Za-z0-9-]+$)", " dot ")),
             ("email_text", 1, F.regexp_replace(F.regexp_replace(v, "@", " [at] "), r"\.", "[dot]")),
             ("email_text", 1, F.regexp_replace(F.regexp_replace(v, "@", "(at)"), r"\.(?=[A-Za-z0-9-]+$)", "(dot)")),
@@ -213,6 +295,7 @@ def _rewritten(base: DataFrame) -> DataFrame:
             ("email_text", 0, F.concat(F.regexp_extract(v, "^[A-Za-z]+", 0), F.lit(" at "), F.lit("noon. Then"))),
         ],
         "phone": [
+            *secrets,
             ("number", 1, F.concat(F.lit("("), area, F.lit(") "), middle, F.lit("-"), last)),
             ("number", 1, F.concat(area, F.lit("-"), middle, F.lit("-"), last)),
             ("number", 1, F.concat(area, F.lit("."), middle, F.lit("."), last)),
@@ -221,6 +304,7 @@ def _rewritten(base: DataFrame) -> DataFrame:
             ("number", 0, F.concat(area, F.lit("."), F.substring(national, 4, 7))),
         ],
         "card": [
+            *secrets,
             ("number", 1, F.concat_ws(".", *groups)),
             ("number", 1, F.concat_ws("/", *groups)),
             ("number", 0, F.concat(body, spoilt_digit)),
@@ -230,6 +314,7 @@ def _rewritten(base: DataFrame) -> DataFrame:
             ("account", 0, F.concat(F.lit("AB"), F.substring(digits, 1, 14))),
         ],
         "ip": [
+            *secrets,
             ("number", 0, F.concat_ws(".", F.lit("1"), F.lit("2"), F.substring(digits, 1, 3), F.substring(digits, 4, 4))),
             ("ip6", 1, F.concat_ws(":", *[F.substring(F.md5(v), 4 * i + 1, 4) for i in range(8)])),
             ("ip6", 0, F.concat_ws(":", *[F.substring(digits, i, 2) for i in (1, 3, 5, 7)])),
@@ -238,11 +323,17 @@ def _rewritten(base: DataFrame) -> DataFrame:
     parts = []
     for kind, examples in forms.items():
         choices = F.array(
-            *[F.struct(F.lit(g).alias("kind"), F.lit(float(label)).alias("label"), value.alias("value")) for g, label, value in examples]
+            *[
+                F.struct(
+                    F.lit(one[0]).alias("kind"), F.lit(float(one[1])).alias("label"), one[2].alias("value"),
+                    (F.lit(one[3]) if len(one) > 3 else F.col("before")).alias("before"),
+                )
+                for one in examples
+            ]
         )
         parts.append(F.when(F.col("base_kind") == kind, choices))
     return base.select("key", "before", "after", F.explode(F.coalesce(*parts)).alias("example")).select(
-        "key", "example.kind", "example.label", "example.value", "before", "after"
+        "key", "example.kind", "example.label", "example.value", "example.before", "after"
     )
 
 
@@ -250,34 +341,32 @@ def _held_out() -> Column:
     return F.pmod(F.xxhash64("key", F.lit(5)), F.lit(4)) == 0
 
 
-def _training(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _training(found: DataFrame, free: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Labelled candidates (key, kind, label, value, before, after): to learn from, of a bounded number of
     documents, and of all documents that are held out."""
     busy = found.filter(F.size("proposed") + sum(F.size(k) for k in KINDS) > 0)
-    n = busy.count()
-    share = int(1_000_000 * min(1.0, MOST_TRAINING / max(1, n)))
-    sample = busy.filter(~_held_out() & (F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1_000_000)) < share))
+    sample = busy.filter(~_held_out() & in_sample(["key"], 11, MOST_TRAINING, busy.count()))
     sample = stored(sample.orderBy("key").limit(2 * MOST_TRAINING), "pii-sample")
-    return _labelled(sample), _labelled(busy.filter(_held_out()))
+    # Documents with equal texts and ids have one key.
+    learning = free.join(sample.select("row"), "row", "left_semi")
+    return _labelled(sample, learning), _labelled(busy.filter(_held_out()), free.filter(_held_out()))
 
 
-def _labelled(sample: DataFrame) -> DataFrame:
-    """The labelled candidates of some documents."""
+def _labelled(sample: DataFrame, free: DataFrame) -> DataFrame:
+    """The labelled candidates of some documents and of their proposals beside base spans."""
     base = sample.select("key", F.explode(F.concat(*KINDS)).alias("s")).select(
         "key", F.col("s.kind").alias("base_kind"), "s.value", "s.before", "s.after"
     )
     # Proposals that break the rules of every format.
-    broken = (
-        sample.select("key", F.concat(*KINDS).alias("base"), F.explode("proposed").alias("s"))
-        .filter(~F.exists("base", lambda b: _overlaps(b, F.col("s"))))
-        .select("key", "s.kind", F.lit(0.0).alias("label"), "s.value", "s.before", "s.after")
-    )
+    broken = free.select("key", "kind", F.lit(0.0).alias("label"), "value", "before", "after")
     digits = digits_of(F.col("value"))
     separated = F.col("value").rlike(r"[0-9][\x20()./-]+[0-9]")
     rule_breaking = F.when(
         F.col("kind") == "number",
         ~separated | (F.length(digits) > 19) | F.col("value").rlike(r"^[0-9]+\.[0-9]+$") | (F.length(digits) < 9),
-    ).when(F.col("kind") == "email_text", ~F.col("value").rlike("(?i)@|[(\\[{]at|dot"))
+    ).when(F.col("kind") == "email_text", ~F.col("value").rlike("(?i)@|[(\\[{]at|dot")).when(
+        F.col("kind") == "secret", ~F.col("value").rlike("[0-9]") | ~F.col("value").rlike("[A-Za-z]")
+    )
     return _rewritten(base).unionByName(broken.filter(rule_breaking))
 
 
@@ -306,7 +395,8 @@ def _thresholds(scored: DataFrame) -> dict[str, float]:
 
 def _added(found: DataFrame) -> DataFrame | None:
     """Per row the proposals that the trees accept, without overlaps: (row, added)."""
-    learning, held_out = _training(found)
+    free = _free(found)
+    learning, held_out = _training(found, free)
     ordered = learning.repartition(8, "key", "value").sortWithinPartitions("key", "kind", "value", "label", "before", "after")
     learn = stored(_featured(ordered), "pii-examples")
     if learn.select("label").distinct().count() < 2:
@@ -316,25 +406,16 @@ def _added(found: DataFrame) -> DataFrame | None:
     limits = _thresholds(_scores(model, held_out))
     if not limits:
         return None
-    free = (
-        found.filter(F.size("proposed") > 0)
-        .select("row", F.concat(*KINDS).alias("base"), F.explode("proposed").alias("s"))
-        .filter(~F.exists("base", lambda b: _overlaps(b, F.col("s"))))
-        .select("row", "s.*")
-    )
     limit = F.coalesce(*[F.when(F.col("kind") == k, F.lit(v)) for k, v in limits.items()])
-    accepted = _scores(model, free).filter(F.col("score") >= limit)
-    one = F.struct("score", "kind", "start", "end")
-    per_row = accepted.groupBy("row").agg(F.collect_list(one).alias("all"))
-
-    def beaten(a: Column, b: Column) -> Column:
-        better = (b["score"] > a["score"]) | (
-            (b["score"] == a["score"]) & (F.struct(b["start"], b["end"], b["kind"]) < F.struct(a["start"], a["end"], a["kind"]))
-        )
-        return _overlaps(a, b) & better
-
-    best = F.filter("all", lambda a: ~F.exists("all", lambda b: beaten(a, b)))
-    return stored(per_row.select(F.col("row").alias("added_row"), best.alias("added")), "pii-added")
+    accepted = stored(
+        _scores(model, free).filter(F.col("score") >= limit).select("row", "score", "kind", "start", "end"), "pii-accepted"
+    )
+    order = ("start", "end", "kind")
+    mine, theirs = F.struct(*order), F.struct(*[F.col(f"o_{c}") for c in order])
+    better = (F.col("o_score") > F.col("score")) | ((F.col("o_score") == F.col("score")) & (theirs < mine))
+    best = accepted.join(_clashing(accepted, accepted, better), ["row", "kind", "start"], "left_anti")
+    per_row = best.groupBy(F.col("row").alias("added_row")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
+    return stored(per_row, "pii-added")
 
 
 def _listed(spans: Column) -> Column:
@@ -372,8 +453,9 @@ def digested(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Counts per kind, the digest of the base spans and the list of all spans."""
     counts = [F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS]
     return found.select(
-        doc_id, *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans")
-    )
+        doc_id, *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+    )
 
 
 def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.llm.common import stored
+from riskbook.llm.common import in_sample, stored
 from riskbook.llm.quality_rules import LISTED
 
 MOST_POSITIVES = 10_000
@@ -156,11 +156,12 @@ def held_out(key: Column) -> Column:
 
 
 def _sample(rows: DataFrame, most: int) -> np.ndarray:
-    """About ``most`` rows chosen by hash, never more than twice that many."""
-    n = rows.count()
-    share = min(1.0, most / max(1, n))
-    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000))
-    return _stack(chosen.select("statistics").limit(2 * most).toPandas()["statistics"])
+    """About ``most`` rows chosen by a hash of id and statistics, never more than twice that many. Only a table of equal
+    rows can have none in the share; any of them stand for all."""
+    chosen = rows.filter(in_sample(["id", "statistics"], 7, most, rows.count())).select("statistics").limit(2 * most).toPandas()
+    if chosen.empty:
+        chosen = rows.select("statistics").limit(most).toPandas()
+    return _stack(chosen["statistics"])
 
 
 def quality_scores(
