@@ -5,6 +5,7 @@ import random
 import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from riskbook.llm import near_dedup as nd
 from riskbook.llm.common import read_table
@@ -122,3 +123,53 @@ def test_sketches_merge():
     hashes = np.random.default_rng(2).integers(0, 2**63, 300, dtype=np.uint64)
     whole = nd.registers(hashes)
     assert np.array_equal(whole, np.maximum(nd.registers(hashes[:100]), nd.registers(hashes[100:])))
+
+
+def test_recall_at_the_limit(spark):
+    """Of 1500 pairs of similarity 0.8, no more than one in a hundred shares no band or agrees in too few registers."""
+    rng = np.random.default_rng(17)
+    rows = []
+    for i in range(1500):
+        hashes = rng.integers(0, 2**63, 1000, dtype=np.uint64)  # 800 in common, 100 each of their own
+        for side, part in enumerate((hashes[:900], np.concatenate([hashes[:800], hashes[900:]]))):
+            rows.append((i, side, nd.packed(nd.registers(part)).tolist()))
+    sketches = spark.createDataFrame(rows, "pair int, side int, bands array<bigint>").repartition(8)
+    keyed = sketches.select("pair", "side", "bands", nd.band_keys(F.col("bands")).alias("keys"))
+    left, right = (
+        keyed.filter(f"side = {s}").select("pair", F.col("bands").alias(f"bands{s}"), F.col("keys").alias(f"keys{s}"))
+        for s in (0, 1)
+    )
+    differences = nd._differences(F.col("bands0"), F.col("bands1"))
+    equal = nd._equal_registers(differences)
+    enough = equal >= int((0.8 - nd.EQUAL_MARGIN) * nd.REGISTERS)
+    missed = left.join(right, "pair").filter(~F.arrays_overlap("keys0", "keys1") | ~enough).count()
+    assert missed <= 15
+    first = F.expr("get(filter(sequence(0, 47), i -> keys0[i] = keys1[i]), 0)")
+    assert left.join(right, "pair").filter(~nd._first_band(differences).eqNullSafe(first)).count() == 0
+    packs = {(i, side): np.array(bands) for i, side, bands in rows[:40]}
+    found = {r.pair: r.n for r in left.join(right, "pair").select("pair", equal.alias("n")).filter("pair < 20").collect()}
+    assert found == {i: int((nd.unpacked(packs[i, 0]) == nd.unpacked(packs[i, 1])).sum()) for i in range(20)}
+
+
+def test_unlinked_families_leave_few_pairs(spark):
+    """Texts that share two thirds of their words with each other, unlinked: the pairs that leave the buckets are few."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(20_000)]
+    base = rng.choices(words, k=150)
+    left = {}
+    for size in (150, 600):
+        docs = []
+        for _ in range(size):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), 18):
+                copy[at] = rng.choice(words)
+            docs.append((len(docs), " ".join(copy)))
+        rows = spark.createDataFrame(docs, "row long, text string").select("row", F.col("row").alias("id"), "text")
+        classes = nd._sketches(rows, 2).select(F.col("row").alias("node"), "n_shingles", "bands").cache()
+        keys = F.posexplode(nd.band_keys(F.col("bands"))).alias("band", "bucket")
+        members = classes.select("node", F.col("node").alias("root"), keys)
+        pairs = [tuple(r) for r in nd._all_pairs(members, classes, 80).collect()]
+        assert len(pairs) == len(set(pairs))
+        left[size] = len(pairs)
+        classes.unpersist()
+    assert left[600] < 0.05 * 600 * 599 / 2 and left[150] < 0.05 * 150 * 149 / 2
