@@ -3,6 +3,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -235,3 +236,20 @@ def test_library_code_stays_distributed():
         assert len(fetches) == allowed.get(str(path.relative_to(root)), 0), path
         forbidden = ("localCheckpoint", "crossJoin", ".rdd", "udf(", "applyInPandas")
         assert not [w for w in forbidden if w in text], path
+
+def test_encoded_rows_come_in_parts_of_bounded_rows(spark, sf_dir, monkeypatch):
+    """What a task of a learner holds does not grow with the table: files are of bounded rows, few of them packed together."""
+    monkeypatch.setattr(training, "FILE_ROWS", 200)
+    monkeypatch.setattr(training, "TASK_ROWS", 200)
+    table = X.add_weight(training.stored(training.model_table(loans(spark, sf_dir).drop("half_missing", "raw_amount"))))
+    train, _ = training.split(table)
+    encoder = models.encoding_pipeline(train).fit(train)
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    vectors = training.encoded(encoder, train, ["label", "features"], StorageLevel.DISK_ONLY)
+    try:
+        sizes = [r["count"] for r in vectors.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == train.count() and max(sizes) <= 400
+    finally:
+        vectors.unpersist()
+    assert spark.conf.get(key) == before
