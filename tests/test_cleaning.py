@@ -154,3 +154,28 @@ def test_frequent_items_are_exact_and_sketch_keeps_its_bound(spark):
         low, high = np.searchsorted(ordered, row["value"], "left"), np.searchsorted(ordered, row["value"], "right")
         wanted = row["probability"] * row["n"]
         assert row["rank_bound"] == 100 and low - row["rank_bound"] <= wanted <= high + row["rank_bound"]
+
+
+@pytest.mark.parametrize("most, error", [(40, 0.02), (500, 0.001), (10**6, 0.001)])
+def test_quantiles_without_error_need_few_values_at_once(spark, monkeypatch, most, error):
+    """Exact among ties and gaps, with only as many values kept by a sketch as it is told."""
+    from pyspark.sql import DataFrameStatFunctions
+
+    rng = np.random.default_rng(2)
+    values = np.concatenate([np.full(900, 5.0), np.full(700, 6.0), rng.normal(0, 3, 3000), rng.integers(-9, 9, 400)])
+    rows = [(float(v), int(v) if i % 3 else None, None) for i, v in enumerate(values)]
+    df = spark.createDataFrame([*rows, (float("nan"), None, None)], "v double, w int, none double").repartition(7)
+    wanted, exact, own = [0.0, 0.003, 0.1, 0.5, 0.77, 0.9, 1.0], [], DataFrameStatFunctions.approxQuantile
+
+    def watched(self, columns, spots, allowed):
+        if allowed == 0:
+            exact.extend(self.df.agg(*[F.count(c) for c in columns]).first())
+        return own(self, columns, spots, allowed)
+
+    plain = df.stat.approxQuantile(["v", "w", "none"], wanted, 0.0)
+    monkeypatch.setattr(DataFrameStatFunctions, "approxQuantile", watched)
+    assert C.bracketed_quantiles(df, ["v", "w", "none"], wanted, error, most) == plain
+    assert max(exact, default=0) <= most and plain[2] == []
+    monkeypatch.setattr(C, "BRACKET_ROWS", most)
+    found = C.sketched_quantiles(df, ["v"], wanted, error=0.0).orderBy("probability").collect()
+    assert [r["value"] for r in found] == plain[0] and {r["rank_bound"] for r in found} == {0}
