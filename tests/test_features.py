@@ -122,3 +122,21 @@ def test_anova_by_hand_and_selection(rows):
 def test_labelled_points(rows):
     packed = X.label_indexer().fit(rows).transform(X.assembler(["x", "y"]).transform(rows))
     assert X.labelled_points(packed).columns == ["label", "features"]
+
+
+def test_long_encoding_leaves_the_rows_of_a_common_value_where_they_are(spark):
+    """In a shuffle one task would get all of them."""
+    rows = [(i, "often" if i % 10 else f"t{i}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "id int, c string").repartition(8)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4000")
+    try:
+        encoded = X.long_encoding(df, ["id"], ["c"])
+        held = encoded.where("value = 'often'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) >= 8 and max(r["count"] for r in held) < 6000
+        assert encoded.select("id", "value").exceptAll(df).count() == 0 and encoded.count() == 20_000
+        slots = {r["value"]: r["slot"] for r in encoded.select("value", "slot").distinct().collect()}
+        assert slots["often"] == 0 and sorted(slots.values()) == list(range(2001))
+    finally:
+        spark.conf.set(key, before)
