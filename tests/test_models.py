@@ -253,3 +253,10 @@ def test_encoded_rows_come_in_parts_of_bounded_rows(spark, sf_dir, monkeypatch):
     finally:
         vectors.unpersist()
     assert spark.conf.get(key) == before
+
+
+def test_components_encode_their_rows_once(spark, sf_dir, monkeypatch):
+    kept, own = [], training.encoded
+    monkeypatch.setattr(training, "encoded", lambda *a: kept.append(own(*a)) or kept[-1])
+    found = {r["measure"]: r["value"] for r in QUERIES["pca_whole_vector"](spark, sf_dir).collect()}
+    assert len(kept) == 1 and not kept[0].is_cached and found["components"] == found["variance"]
