@@ -260,3 +260,18 @@ def test_components_encode_their_rows_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(training, "encoded", lambda *a: kept.append(own(*a)) or kept[-1])
     found = {r["measure"]: r["value"] for r in QUERIES["pca_whole_vector"](spark, sf_dir).collect()}
     assert len(kept) == 1 and not kept[0].is_cached and found["components"] == found["variance"]
+
+
+def test_bayes_search_keeps_the_rows_of_a_fold_together(parts, monkeypatch):
+    """A scan of one fold then reads its blocks only; each of them is scored in one step."""
+    seen, own = [], tuning.bayes_metrics
+
+    def watched(split, *rest):
+        place = F.monotonically_increasing_id()
+        rows = split.rows.select(F.spark_partition_id().alias("p"), place.alias("i"), "fold").collect()
+        seen.extend((r["p"], r["i"], r["fold"]) for r in rows)
+        return own(split, *rest)
+
+    monkeypatch.setattr(tuning, "bayes_metrics", watched)
+    tuning.tune("bayes", parts[0], ["loan_amnt", "installment"], folds=3, grid={"smoothing": [1.0]})
+    assert [(p, f) for p, _, f in sorted(seen)] == sorted((p, f) for p, _, f in seen)
