@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -37,7 +37,7 @@ LEAST_LANE = 128  # ids in a lane
 MAGIC = b"CMR1"
 HEADER = "<4sIIIII"  # magic, crc32 of what follows it, documents, ids, lanes, steps
 
-MOST_PIECES = 1_500_000  # whose ids a worker remembers
+MOST_PIECES = 250_000  # whose ids a worker remembers, some 220 bytes each
 CONTEXT_BITS = 18
 MOST_CONFIDENCE = 7
 SLOT_BITS = 16
@@ -182,9 +182,10 @@ class _Reader:
 def encode_ids(ids: np.ndarray, vocabulary: int) -> tuple[int, int, np.ndarray, np.ndarray]:
     """Lanes, steps, words per lane, words."""
     lanes, steps = _lanes(len(ids))
-    padded = np.zeros(lanes * steps, np.int32)
-    padded[: len(ids)] = ids
-    rows = np.ascontiguousarray(padded.reshape(lanes, steps).T)
+    rows = np.zeros((steps, lanes), np.int32)
+    whole = len(ids) // steps  # lanes without padding
+    rows[:, :whole] = ids[: whole * steps].reshape(whole, steps).T
+    rows[: len(ids) - whole * steps, whole : whole + 1] = ids[whole * steps :, None]
     models, writer = Models(lanes, vocabulary), _Writer(lanes)
     for step in range(steps):
         now = rows[step]
@@ -268,13 +269,26 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+class _Numbers(dict):
+    """Pieces numbered as they come; ``new`` holds those whose ids are still to be learnt."""
+
+    def __init__(self, known: Iterable[tuple[str, int]] = ()) -> None:
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Encoder:
     """Texts to ids with a tokenizers file, remembering the ids of pieces.
 
     White space is no token of these vocabularies and no token crosses it, so a text is the sequence of its
     pieces between white space. Where a text has only ASCII and Latin-1 letters and no apostrophes or
     special tokens, runs of letters and of anything else are separate pieces too, in lower case, as
-    the tokenizer itself would part them. What was learnt is dropped beyond ``most`` pieces.
+    the tokenizer itself would part them. Beyond ``most`` pieces, those are dropped that no later texts held.
     """
 
     _PIECE = re.compile(r"[^ \t-\r]+")
@@ -302,9 +316,32 @@ class Encoder:
         return [token.id for token in self.tokenizer.model.tokenize(piece)]
 
     def forget(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.numbers = _Numbers()
         self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(1, np.int64)
+        self.again = np.zeros(0, bool)  # whether texts after those that brought the piece held it too
+
+    def _trim(self) -> None:
+        """Keep the pieces that came again; where these alone are too many, begin anew."""
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > self.most:
+            self.forget()
+            return
+        names = list(self.numbers)
+        self.numbers = _Numbers(zip([names[i] for i in kept.tolist()], range(len(kept))))
+        self.flat, lengths = self._ids_at(kept)
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])
+        self.again = np.zeros(len(kept), bool)
+
+    def _ids_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered pieces one after the other, and how many each has."""
+        starts = self.starts.take(at)
+        lengths = self.starts.take(at + 1) - starts
+        ends = np.cumsum(lengths)
+        # Id i of the output stands at its offset within its piece, from the piece's start.
+        place = np.repeat(starts - ends + lengths, lengths)
+        place += np.arange(len(place))
+        return self.flat.take(place), lengths
 
     def pieces(self, text: str) -> list[str]:
         if self._PLAIN.fullmatch(text) and "<|" not in text:
@@ -312,7 +349,6 @@ class Encoder:
         return self._PIECE.findall(text)
 
     def _learn(self, new: list[str]) -> None:
-        self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new))))
         rest = [p for p in new if not (self.direct and self._LETTERS.fullmatch(p))]
         encoded = dict(zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
         found = [encoded[p].ids if p in encoded else self._letters(p) for p in new]
@@ -320,24 +356,23 @@ class Encoder:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         self.flat = np.concatenate([self.flat, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
         if len(self.numbers) > self.most:
-            self.forget()
+            self._trim()
         by_text = [self.pieces(text) for text in texts]
-        pieces = list(chain.from_iterable(by_text))
-        new = set(pieces).difference(self.numbers)
-        if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
-        starts = self.starts.take(at)
-        lengths = self.starts.take(at + 1) - starts
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        # Id i of the output stands at its offset within its piece, from the piece's start.
-        place = np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])
-        text_ends = ends.take(np.cumsum(np.fromiter(map(len, by_text), np.int64, len(by_text))))
-        return self.flat.take(place), np.diff(text_ends, prepend=0)
+        counts = np.fromiter(map(len, by_text), np.int64, len(by_text))
+        known = len(self.numbers)
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(by_text)), np.int64, int(counts.sum()))
+        self.again[at[at < known]] = True
+        if self.numbers.new:
+            self._learn(self.numbers.new)
+            self.numbers.new = []
+        flat, lengths = self._ids_at(at)
+        text_ends = np.concatenate([[0], np.cumsum(lengths)]).take(np.cumsum(counts))
+        return flat, np.diff(text_ends, prepend=0)
 
 
 def _encoder(path: str) -> Encoder:
@@ -375,7 +410,9 @@ def encode_blocks(docs: DataFrame, path: str, end_id: int, key: str = "doc_id",
         gathered = number = 0
 
         def block() -> pa.RecordBatch:
-            data = write_block(keys, lengths, np.concatenate(parts), encoder.vocabulary)
+            ids = np.concatenate(parts)
+            parts.clear()
+            data = write_block(keys, lengths, ids, encoder.vocabulary)
             values = ([shard], [number], [len(keys)], [gathered], [data])
             arrays = [pa.array(v, f.type) for v, f in zip(values, _BLOCK_FIELDS)]
             return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(_BLOCK_FIELDS))

@@ -96,3 +96,23 @@ def test_files_and_ids(spark, tmp_path):
 
 def test_empty_table(spark):
     assert tf.tokenized(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_encoder_remembers_a_bounded_number_of_pieces():
+    """Pieces that come once do not pile up in a worker, and those that come again are not learnt anew."""
+    one, two = tf.Encoder(PATH), tf.Encoder(PATH, most=200)
+    letters = "abcdefghij"
+    texts = [
+        " ".join(["the", "house"] + [f"q{letters[i % 10]}{letters[i // 10 % 10]}{letters[i // 100]}x{letters[j]}" for j in range(10)])
+        for i in range(300)
+    ]
+    learnt = []
+    learn = two._learn
+    two._learn = lambda new: (learnt.extend(new), learn(new))
+    for at in range(0, len(texts), 5):
+        expected, actual = one.encode(texts[at : at + 5]), two.encode(texts[at : at + 5])
+        assert all((a == b).all() for a, b in zip(expected, actual))
+        assert len(two.numbers) <= 200 + 60 and len(two.flat) == two.starts[-1]
+    assert learnt.count("house") == 1
+    plain = two.tokenizer.encode_batch(texts[:5], add_special_tokens=False)
+    assert two.encode(texts[:5])[0].tolist() == [i for e in plain for i in e.ids]
