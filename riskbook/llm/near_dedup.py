@@ -13,7 +13,8 @@ Large groups are not paired out. Every bucket names one hub, and only (hub, memb
 the likelihood of the two sketches together, which drops pairs far below the limit, then by the full sets of
 words. What got linked is one component; only buckets that still hold several components go on, with other
 hubs, until their remaining pairs are no more than the rows of the bucket table or hubs find no more, and
-all of those pairs are compared by size and sketch where their buckets meet; only those that may reach the limit go on. The
+all of those pairs are compared by size, parity bits and sketch where their buckets meet; only those that may reach the limit
+go on. Parity bits bound from below what only one of two sets holds, so they drop no pair that reaches the limit. The
 first round takes a third of the bands, which joins most of every large
 group before the others are looked at. So every candidate pair is examined or lies within one component.
 
@@ -47,6 +48,7 @@ RATE = 20.0  # of the exponential variates
 LEAST_PERCENT = 80
 SKETCH_MARGIN = 0.15  # a pair estimated this far below the limit is dropped: six deviations
 EQUAL_MARGIN = 0.065  # the same for the share of equal registers where buckets are paired out: three deviations
+PARITIES = 2048  # bits, each whether an odd number of a set's hashes falls on it
 FIRST_BANDS = 16  # of the first round
 PAIRS_PER_CLASS = 2 * BANDS  # when no more remain, all are examined
 HUB_ROUNDS = 8
@@ -123,6 +125,13 @@ def packed(values: np.ndarray) -> np.ndarray:
     return (values.reshape(BANDS, PACKED) << shifts).sum(axis=1)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """The parity bits of a set, 64 to a number. What two sets share cancels out where their bits are compared, and what
+    only one holds turns one bit, so that no more bits than that differ."""
+    odd = np.bincount((hashes & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def unpacked(bands: np.ndarray) -> np.ndarray:
     """The registers of many sketches, from an array of their numbers."""
     shifts = np.arange(PACKED, dtype=np.int64) * REGISTER_BITS
@@ -151,31 +160,34 @@ def estimated_similarity(left: np.ndarray, right: np.ndarray, left_size: np.ndar
 
 
 def _sketches(rows: DataFrame, size: int) -> DataFrame:
-    """Per row: its number, id, set size, the digest of the set and the bands (NULL for empty sets)."""
+    """Per row: its number, id, set size, the digest of the set, the bands and the parity bits (NULL for empty sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                counts, digests, bands = [], [], []
+                counts, digests, bands, bits = [], [], [], []
                 for hashes in hashed_sets(part.column(2).to_pylist(), size):
                     counts.append(len(hashes))
                     if not len(hashes):
                         digests.append(None)
                         bands.append(None)
+                        bits.append(None)
                         continue
                     digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                     bands.append(packed(registers(hashes)))
+                    bits.append(parities(hashes))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), pa.array(counts, pa.int64()),
                         pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(bits, pa.list_(pa.int64())),
                     ],
-                    ["row", "id", "n_shingles", "digest", "bands"],
+                    ["row", "id", "n_shingles", "digest", "bands", "bits"],
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"row bigint, id {kind}, n_shingles bigint, digest binary, bands array<bigint>"
+    schema = f"row bigint, id {kind}, n_shingles bigint, digest binary, bands array<bigint>, bits array<bigint>"
     return rows.select("row", "id", "text").mapInArrow(run, schema)
 
 
@@ -229,6 +241,14 @@ def _fitting(u_size: Column, v_size: Column, percent: int) -> Column:
     return F.least(u_size, v_size) * 100 >= F.greatest(u_size, v_size) * percent
 
 
+def _close(u_size: Column, u_bits: Column, v_size: Column, v_bits: Column, percent: int) -> Column:
+    """Whether so few parity bits differ that the sets may reach the limit; every pair that does passes. Sets of s hashes
+    together reach it if no more than s * (100 - percent) / (100 + percent) are in one of them only."""
+    differing = F.zip_with(u_bits, v_bits, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    total = F.aggregate(differing, F.lit(0), lambda so_far, n: so_far + n)
+    return total * (100 + percent) <= (u_size + v_size) * (100 - percent)
+
+
 def _probable(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v, u_size, u_bands, v_size, v_bands) whose sketches do not speak against the limit."""
     least = percent / 100 - SKETCH_MARGIN
@@ -251,10 +271,13 @@ def _probable(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sketches do not speak against the limit."""
-    sides = classes.select("node", "n_shingles", "bands")
-    joined = pairs.join(sides.toDF("u", "u_size", "u_bands"), "u").join(sides.toDF("v", "v_size", "v_bands"), "v")
-    return _probable(joined.filter(_fitting(F.col("u_size"), F.col("v_size"), percent)), percent)
+    """The pairs (u, v) whose sizes, parity bits and sketches do not speak against the limit."""
+    sides = classes.select("node", "n_shingles", "bands", "bits")
+    names = ("size", "bands", "bits")
+    for side in ("u", "v"):
+        pairs = pairs.join(sides.toDF(side, *[f"{side}_{name}" for name in names]), side)
+    close = _close(F.col("u_size"), F.col("u_bits"), F.col("v_size"), F.col("v_bits"), percent)
+    return _probable(pairs.filter(_fitting(F.col("u_size"), F.col("v_size"), percent) & close), percent)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -297,9 +320,11 @@ def _bucket_pairs(members: DataFrame, turn: int) -> DataFrame:
 
 
 def _all_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs of a bucket's members of different components that sizes and sketches let through. The sketches come to
+    """The pairs of a bucket's members of different components that sizes, parity bits and sketches let through. The sketches come to
     the buckets, so that only such pairs leave the join; unlinked pairs far below the limit never become rows."""
-    sides = classes.select("node", F.col("n_shingles").alias("size"), "bands")
+    # Classes without parity bits are compared by size and sketch alone.
+    bits = [c for c in classes.columns if c == "bits"]
+    sides = classes.select("node", F.col("n_shingles").alias("size"), "bands", *bits)
     known = members.select("bucket", "band", "node", "root").join(sides, "node")
     other = known.toDF(*[f"v_{c}" for c in known.columns])
     differences = _differences(F.col("bands"), F.col("v_bands"))
@@ -311,6 +336,7 @@ def _all_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFram
         & (F.col("node") < F.col("v_node"))
         & (F.col("root") != F.col("v_root"))
         & _fitting(F.col("size"), F.col("v_size"), percent)
+        & (_close(F.col("size"), F.col("bits"), F.col("v_size"), F.col("v_bits"), percent) if bits else F.lit(True))
         & enough
         & once
     )
@@ -333,6 +359,7 @@ def near_duplicates(rows: DataFrame, size: int, percent: int = LEAST_PERCENT) ->
         .agg(
             F.min("row").alias("node"), first.alias("first"), F.count(F.lit(1)).alias("copies"),
             F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+            F.first("bits").alias("bits"),
         ),
         "classes",
     )

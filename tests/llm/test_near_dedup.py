@@ -173,3 +173,42 @@ def test_unlinked_families_leave_few_pairs(spark):
         left[size] = len(pairs)
         classes.unpersist()
     assert left[600] < 0.05 * 600 * 599 / 2 and left[150] < 0.05 * 150 * 149 / 2
+
+
+@given(st.integers(1, 3000), st.integers(0, 400), st.integers(0, 400))
+def test_parities_never_say_more_than_what_differs(common, left, right):
+    hashes = np.random.default_rng(common).integers(0, 2**63, common + left + right, dtype=np.uint64)
+    one, two = (nd.parities(h) for h in (hashes[: common + left], np.concatenate([hashes[:common], hashes[common + left :]])))
+    differing = int(np.bitwise_count((one ^ two).view(np.uint64)).sum())
+    assert differing <= left + right and (left + right - differing) % 2 == 0
+    assert left + right > 200 or differing >= 0.75 * (left + right)
+
+
+def test_families_below_the_limit_leave_only_pairs_near_it(spark):
+    """Texts of similarity 0.74 to 0.82 with each other: hardly any unlinked pair goes on to its full sets, and none that is linked is lost."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(20_000)]
+    base = rng.choices(words, k=200)
+    docs = []
+    for i in range(90):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), 5 if i < 20 else 7):
+            copy[at] = rng.choice(words)
+        docs.append((i, " ".join(copy)))
+    sets = [nd.shingle_set(text, 2) for _, text in docs]
+    similar = {
+        (i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(docs)) for j in range(i + 1, len(docs))
+    }
+    rows = spark.createDataFrame(docs, "row long, text string").select("row", F.col("row").alias("id"), "text")
+    classes = nd._sketches(rows, 2).withColumn("node", F.col("row")).cache()
+    keys = F.posexplode(nd.band_keys(F.col("bands"))).alias("band", "bucket")
+    members = classes.select("node", F.col("node").alias("root"), keys)
+    sketched = {tuple(r) for r in nd._all_pairs(members, classes.drop("bits"), 80).collect()}
+    found = {tuple(r) for r in nd._all_pairs(members, classes, 80).collect()}
+    every = spark.createDataFrame(list(similar), "u long, v long")
+    likely = {tuple(r) for r in nd._likely(every, classes, 80).collect()}
+    classes.unpersist()
+    assert found <= sketched and found <= likely
+    assert all(pair in found for pair in sketched if similar[pair] >= 0.8)
+    unlinked = [sum(similar[pair] < 0.8 for pair in some) for some in (found, likely, sketched)]
+    assert unlinked[0] < unlinked[2] / 4 and unlinked[1] < unlinked[2] / 4
