@@ -275,3 +275,35 @@ def test_bayes_search_keeps_the_rows_of_a_fold_together(parts, monkeypatch):
     monkeypatch.setattr(tuning, "bayes_metrics", watched)
     tuning.tune("bayes", parts[0], ["loan_amnt", "installment"], folds=3, grid={"smoothing": [1.0]})
     assert [(p, f) for p, _, f in sorted(seen)] == sorted((p, f) for p, _, f in seen)
+
+
+def test_logistic_models_fitted_side_by_side_are_the_librarys(parts, monkeypatch):
+    """All folds and settings share a pass, and every limit of iterations gives the library's model."""
+    from pyspark.ml.classification import LogisticRegression
+
+    fits, passes = [], []
+    key = ["loan_amnt", "installment"]
+    grid = {"regParam": [0.001, 0.01, 1.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [1, 3, 10]}
+    theirs = tuning.cross_validate(parts[0], models.logistic(), grid, folds=2, key=key)
+    own_fit, own_pass = LogisticRegression.fit, tuning.lockstep.losses
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, rows: fits.append(self) or own_fit(self, rows))
+    monkeypatch.setattr(tuning.lockstep, "losses", lambda *a: passes.append(len(a[2])) or own_pass(*a))
+    ours = tuning.tune("logistic", parts[0], key, folds=2, grid=grid)
+    found, expected = ({r["parameters"]: tuple(r[2:]) for r in s.table.collect()} for s in (ours, theirs))
+    assert len(found) == 27 and set(found) == set(expected)
+    assert all(np.allclose(found[p], expected[p], atol=1e-9) for p in expected)
+    assert len(fits) == 1 and len(passes) < 40 and passes[0] == 18
+
+
+def test_minimiser_takes_steps_until_nothing_changes():
+    """On a bowl with an absolute penalty the minimum is known: each coordinate moved towards zero by its penalty."""
+    from riskbook.operators.lockstep import minimise
+
+    centre, l1 = np.array([3.0, -0.2, 1.0]), np.array([0.5, 0.5, 0.0])
+    for penalty, expected in ((None, centre), (l1, np.array([2.5, 0.0, 1.0]))):
+        run = minimise(np.zeros(3), 50, 1e-12, penalty)
+        x = next(run)
+        with pytest.raises(StopIteration) as end:
+            while True:
+                x = run.send((0.5 * float((x - centre) @ (x - centre)), x - centre))
+        assert np.allclose(end.value.value[-1], expected, atol=1e-5)
