@@ -307,3 +307,18 @@ def test_minimiser_takes_steps_until_nothing_changes():
             while True:
                 x = run.send((0.5 * float((x - centre) @ (x - centre)), x - centre))
         assert np.allclose(end.value.value[-1], expected, atol=1e-5)
+
+
+def test_support_vectors_fitted_side_by_side_are_the_librarys(parts, monkeypatch):
+    from pyspark.ml.classification import LinearSVC
+
+    fits = []
+    key = ["loan_amnt", "installment"]
+    grid = {"regParam": [0.001, 0.01, 0.1, 1.0, 5.0], "maxIter": [1, 2, 6]}
+    theirs = tuning.cross_validate(parts[0], models.svm(), grid, folds=2, key=key)
+    own_fit = LinearSVC.fit
+    monkeypatch.setattr(LinearSVC, "fit", lambda self, rows: fits.append(self) or own_fit(self, rows))
+    ours = tuning.tune("svm", parts[0], key, folds=2, grid=grid)
+    found, expected = ({r["parameters"]: tuple(r[2:]) for r in s.table.collect()} for s in (ours, theirs))
+    assert len(found) == 15 and set(found) == set(expected) and len(fits) == 1
+    assert all(np.allclose(found[p], expected[p], atol=1e-9) for p in expected)
