@@ -21,11 +21,12 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ CONTEXT_BITS = 18
 MOST_CONFIDENCE = 7
 SLOT_BITS = 16
 ID_BITS = 24
+COARSE_BITS = 8
 REFRESH = 8  # steps between new order-0 shares
 _WORD = np.uint64(32)
 _LOW_WORD = np.uint64(0xFFFFFFFF)
@@ -72,6 +74,17 @@ class Models:
         self.ids = np.zeros(self.vocabulary + 1, np.uint64)
         np.cumsum(parts, out=self.ids[1:])
         self.ids[-1] = 1 << ID_BITS
+        self.coarse = None
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The ids in whose order-0 shares the values lie."""
+        if self.coarse is None:  # the first id of every stretch of values, until the shares change
+            self.coarse = np.searchsorted(self.ids, np.arange(0, (1 << ID_BITS) + 1, 1 << COARSE_BITS, dtype=np.uint64), "right") - 1
+        stretch = (value >> np.uint64(COARSE_BITS)).astype(np.int64)
+        found = self.coarse.take(stretch)
+        several = np.flatnonzero(found != self.coarse.take(stretch + 1))
+        found[several] = np.searchsorted(self.ids, value.take(several), "right") - 1
+        return found
 
     def predict(self) -> np.ndarray:
         """Look both predictions up and give the row of the mixing weights of each lane."""
@@ -221,7 +234,7 @@ def decode_ids(n: int, lanes: int, steps: int, lengths: np.ndarray, words: np.nd
         now = np.where(slot == 2, models.guess2, models.guess1)
         rest = np.flatnonzero(slot == 0)
         if len(rest):
-            value = np.searchsorted(models.ids, reader.look(rest, ID_BITS), "right") - 1
+            value = models.find(reader.look(rest, ID_BITS))
             start = models.ids.take(value)
             reader.take(rest, start, models.ids.take(value + 1) - start)
             now[rest] = value
@@ -267,6 +280,18 @@ def read_block(block: bytes, vocabulary: int) -> tuple[list[int | None], np.ndar
 # Byte-level vocabularies spell the bytes that are no printable Latin-1 characters from code point 256 on.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPELLED = {c: "".join(chr(_BYTE_LETTERS.get(b, b)) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+# Of the UTF-8 bytes of a plain text: white space (0), letters with all bytes of Latin-1 ones (1), anything else (2).
+_KIND = np.full(256, 2, np.uint8)
+_KIND[[*b" \t\n\v\f\r"]] = 0
+_KIND[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = 1
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+# Bytes that no plain text has: the apostrophe and all that begin other characters than U+00C0 to U+00FF.
+_ODD = np.zeros(256, bool)
+_ODD[[ord("'"), *range(0xC0, 0xC3), *range(0xC4, 0x100)]] = True
 
 
 class _Numbers(dict):
@@ -302,6 +327,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.tokenize = self.tokenizer.model.tokenize
         self.most = most
         self.forget()
         self.direct = False
@@ -312,8 +338,8 @@ class Encoder:
     def _letters(self, piece: str) -> list[int]:
         """The ids of a run of lower-case letters from the model alone, as it spells their bytes."""
         if not piece.isascii():
-            piece = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return [token.id for token in self.tokenizer.model.tokenize(piece)]
+            piece = piece.translate(_SPELLED)
+        return [token.id for token in self.tokenize(piece)]
 
     def forget(self) -> None:
         self.numbers = _Numbers()
@@ -358,14 +384,55 @@ class Encoder:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _plain_pieces(self, column: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray]:
+        """Which texts are plain, how many pieces each of them has, and these one after the other, from the bytes of all texts."""
+        _, offsets, data = column.buffers()
+        starts = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+        raw = np.frombuffer(data or b"", np.uint8)[starts[0] : starts[-1]]
+        starts = starts - starts[0]
+        before, after = raw[:-1], raw[1:]
+        odd = _ODD.take(raw)
+        odd[1:] |= (before == ord("<")) & (after == ord("|"))
+        low = _LOWER.take(raw)
+        accents = np.flatnonzero(before == 0xC3) + 1
+        accent = raw.take(accents)
+        odd[accents] |= (accent == 0x97) | (accent == 0xB7)
+        low[accents] += np.where(accent <= 0x9E, 0x20, 0).astype(np.uint8)
+        plain = np.ones(len(column), bool)
+        plain[np.searchsorted(starts[1:], np.flatnonzero(odd), "right")] = False
+
+        kind = _KIND.take(raw)
+        begins = np.ones(len(raw), bool)
+        np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+        begins[starts[starts < len(raw)]] = True
+        kept = kind != 0
+        if not plain.all():
+            kept &= np.repeat(plain, np.diff(starts))
+        counts = np.diff(np.searchsorted(np.flatnonzero(begins & kept), starts))
+        solid = low[kept]
+        bounds = np.append(np.flatnonzero(begins[kept]), len(solid)).astype(np.int64)
+        pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(solid))
+        return plain, counts, pieces.dictionary_encode()
+
+    def encode(self, texts: Sequence[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
         if len(self.numbers) > self.most:
             self._trim()
-        by_text = [self.pieces(text) for text in texts]
-        counts = np.fromiter(map(len, by_text), np.int64, len(by_text))
+        column = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).cast(pa.large_string())
         known = len(self.numbers)
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(by_text)), np.int64, int(counts.sum()))
+        plain, counts, pieces = self._plain_pieces(column)
+        # A piece is looked up once, however often these texts hold it.
+        named = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, named), np.int64, len(named))
+        at = numbers.take(pieces.indices.to_numpy())
+        if not plain.all():
+            by_text = [self.pieces(column[i].as_py()) for i in np.flatnonzero(~plain).tolist()]
+            counts[~plain] = list(map(len, by_text))
+            every = np.empty(int(counts.sum()), np.int64)
+            own = np.repeat(plain, counts)
+            every[own] = at
+            every[~own] = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(by_text)), np.int64)
+            at = every
         self.again[at[at < known]] = True
         if self.numbers.new:
             self._learn(self.numbers.new)
@@ -393,7 +460,7 @@ _BLOCK_FIELDS = [
     pa.field("ids", pa.int64()), pa.field("block", pa.binary()),
 ]
 _BLOCK_SCHEMA = "shard int, number int, documents bigint, ids bigint, block binary"
-_TEXTS_AT_ONCE = 256
+_BYTES_AT_ONCE = 2_000_000  # of texts encoded together, and one text more at most
 
 
 def encode_blocks(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -418,9 +485,12 @@ def encode_blocks(docs: DataFrame, path: str, end_id: int, key: str = "doc_id",
             return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(_BLOCK_FIELDS))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
-                piece = batch.slice(at, _TEXTS_AT_ONCE)
-                flat, sizes = encoder.encode([t or "" for t in piece.column(1).to_pylist()])
+            texts = pc.fill_null(batch.column(1), "")
+            size = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // _BYTES_AT_ONCE
+            cuts = [0, *(np.flatnonzero(size[1:] != size[:-1]) + 1).tolist(), batch.num_rows]
+            for at, end in zip(cuts, cuts[1:]):
+                piece = batch.slice(at, end - at)
+                flat, sizes = encoder.encode(texts.slice(at, end - at))
                 ends = np.cumsum(sizes)
                 # An end id after each document.
                 with_ends = np.insert(flat, ends, end_id)

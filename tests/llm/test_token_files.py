@@ -116,3 +116,28 @@ def test_encoder_remembers_a_bounded_number_of_pieces():
     assert learnt.count("house") == 1
     plain = two.tokenizer.encode_batch(texts[:5], add_special_tokens=False)
     assert two.encode(texts[:5])[0].tolist() == [i for e in plain for i in e.ids]
+
+
+def test_pieces_are_looked_up_once_for_the_texts_that_hold_them():
+    class Counted(tf._Numbers):
+        looked = 0
+
+        def __getitem__(self, piece):
+            Counted.looked += 1
+            return super().__getitem__(piece)
+
+    encoder = tf.Encoder(PATH)
+    encoder.numbers = Counted()
+    texts = ["The house, the HOUSE and the house. "] * 500 + ["It's odd <|endoftext|>", "", "ÀÉ àé × ÷ <", "|"]
+    flat, sizes = encoder.encode(texts)
+    plain = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert flat.tolist() == sum(plain, []) and sizes.tolist() == [len(p) for p in plain]
+    assert Counted.looked < 30  # 4,500 pieces
+
+
+def test_shares_are_found_where_a_search_finds_them():
+    models = tf.Models(1, SIZE)
+    models.refresh_shares(np.random.default_rng(5).zipf(1.3, 20_000) % SIZE)
+    values = np.random.default_rng(6).integers(0, 1 << tf.ID_BITS, 50_000).astype(np.uint64)
+    values[:2] = 0, (1 << tf.ID_BITS) - 1
+    assert (models.find(values) == np.searchsorted(models.ids, values, "right") - 1).all()
