@@ -4,6 +4,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from pyspark import StorageLevel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -50,6 +51,16 @@ def test_probabilities_have_two_classes_and_sum_to_one(parts, fitted):
     assert "probability" not in fitted["svm"].transform(parts[1]).columns
 
 
+def test_models_that_share_encoders_are_compared_on_rows_encoded_once(parts, fitted, monkeypatch):
+    chosen = {name: fitted[name] for name in ("logistic", "bayes", "svm")}
+    own, calls = StringIndexerModel.transform, []
+    monkeypatch.setattr(StringIndexerModel, "transform", lambda self, *a: calls.append(self.uid) or own(self, *a))
+    together = {r["model"]: r.asDict() for r in training.compare_models(chosen, parts[1]).collect()}
+    assert len(calls) == len(set(calls)) == 2
+    for name, model in chosen.items():
+        assert training.compare_models({name: model}, parts[1]).first().asDict() == together[name]
+
+
 def test_same_seed_same_model(parts, fitted):
     again = training.fit_models(parts[0], {"forest": models.forest(maxDepth=4)})["forest"]
     trees = [models.rules_text(m).split("\n", 1)[1] for m in (again, fitted["forest"])]
