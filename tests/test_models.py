@@ -333,3 +333,51 @@ def test_support_vectors_fitted_side_by_side_are_the_librarys(parts, monkeypatch
     found, expected = ({r["parameters"]: tuple(r[2:]) for r in s.table.collect()} for s in (ours, theirs))
     assert len(found) == 15 and set(found) == set(expected) and len(fits) == 1
     assert all(np.allclose(found[p], expected[p], atol=1e-9) for p in expected)
+
+
+def test_grown_trees_are_the_librarys(parts, monkeypatch):
+    """On the rows they were fitted to; elsewhere slots that split these alike may stand for each other."""
+    from pyspark.ml.classification import GBTClassifier
+
+    from riskbook.operators import boosting
+
+    encoder = models.encoding_pipeline(parts[0]).fit(parts[0])
+    rows = encoder.transform(parts[0]).select("label", "features").persist()
+    chosen = models.boosted(maxDepth=4, maxIter=4, stepSize=0.5)
+    fits, own_fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, r: fits.append(self) or own_fit(self, r))
+    assert boosting.fit_any(chosen, rows).getNumTrees == 4 and len(fits) == 1  # few rows
+    monkeypatch.setattr(boosting, "MANY_ROWS", 0)
+    grown, theirs = boosting.fit_any(chosen, rows), own_fit(chosen, rows)
+    assert len(fits) == 1 and grown.treeWeights == theirs.treeWeights
+    found, expected = (
+        np.array([r[0] for r in m.transform(rows).select(vector_to_array("rawPrediction")[1]).collect()]) for m in (grown, theirs)
+    )
+    assert np.allclose(found, expected, atol=1e-9) and np.std(found) > 0
+    gains = [sum(t.featureImportances.toArray()) for t in grown.trees]
+    assert np.allclose(gains, 1) and grown.totalNumNodes > 40
+    rows.unpersist()
+
+
+def test_boosted_search_reads_the_rows_once_a_level(parts, monkeypatch):
+    """All folds and step sizes of a depth share its passes; the library fits the best model alone."""
+    from pyspark.ml.classification import GBTClassifier
+
+    from riskbook.operators import boosting
+
+    fits, passes = [], []
+    own_fit, own_pass = GBTClassifier.fit, boosting.counted
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, rows: fits.append(self) or own_fit(self, rows))
+    monkeypatch.setattr(boosting, "counted", lambda *a: passes.append(len(a[2])) or own_pass(*a))
+    grid = {"maxDepth": [2, 3], "maxIter": [1, 2], "stepSize": [0.01, 0.1, 1.0]}
+    assert tuning.tune("boosted", parts[0], ["loan_amnt", "installment"], folds=3, grid=grid).table.count() == 12
+    assert len(fits) == 1 and passes == [3] * 2 + [9] * 2 + [3] * 3 + [9] * 3
+
+
+def test_thresholds_are_the_librarys():
+    from riskbook.operators.boosting import thresholds
+
+    assert thresholds(np.array([1.0, 1, 1, 1]), 4).tolist() == []
+    assert thresholds(np.array([1.0, 2, 2, 4]), 4).tolist() == [1.5, 3.0]
+    assert thresholds(np.arange(10.0), 4).tolist() == [1.5, 3.5, 5.5, 7.5]
+    assert thresholds(np.array([0.0] * 97 + [1, 2, 3]), 2).tolist() == [0.5, 1.5]
