@@ -381,3 +381,23 @@ def test_thresholds_are_the_librarys():
     assert thresholds(np.array([1.0, 2, 2, 4]), 4).tolist() == [1.5, 3.0]
     assert thresholds(np.arange(10.0), 4).tolist() == [1.5, 3.5, 5.5, 7.5]
     assert thresholds(np.array([0.0] * 97 + [1, 2, 3]), 2).tolist() == [0.5, 1.5]
+
+
+def test_searches_keep_parts_of_bounded_rows_on_disk(spark, sf_dir, monkeypatch):
+    """A task of a search sorts and keeps no more rows as the table grows."""
+    monkeypatch.setattr(training, "FILE_ROWS", 200)
+    monkeypatch.setattr(tuning, "TASK_ROWS", 200)
+    table = model_queries.table(loans(spark, sf_dir)).drop(training.SPLIT_POINT)
+    seen = []
+
+    def watched(split, model, points, *rest):
+        sizes = [r["count"] for r in split.rows.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((sum(sizes), max(sizes), split.rows.storageLevel.useMemory))
+        return np.zeros((split.folds, len(points)))
+
+    monkeypatch.setattr(tuning, "bayes_metrics", watched)
+    monkeypatch.setattr(tuning, "shared_metrics", watched)
+    for name in ("bayes", "logistic", "svm"):
+        tuning.tune(name, table, model_queries.FOLD_KEY, grid={"maxIter": [1]} if name != "bayes" else None)
+    assert {total for total, _, _ in seen} == {table.count()}
+    assert all(most <= 400 and not memory for _, most, memory in seen) and len(seen) == 3
